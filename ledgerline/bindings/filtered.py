@@ -24,6 +24,7 @@ from ledgerline.functions import from_units
 from ledgerline.operators import filters, ordering, subqueries
 from ledgerline.operators.joins import join_dimension
 from ledgerline.sources import run_query
+from ledgerline.workspace import freeze
 
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "c_name", "r_name", "p_type", "l_extendedprice"]
 LINE_SQL = ", ".join(LINE_COLUMNS)
@@ -169,7 +170,9 @@ totals AS (SELECT o_custkey, sum({cents_sql("o_totalprice")}) AS cents FROM orde
     """,
 )
 def cte_above_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rich = subqueries.above_average(customer_totals(spark, sf_dir), "total_units")
+    # The totals are used twice, so they are computed once and stored.
+    totals = freeze(customer_totals(spark, sf_dir))
+    rich = subqueries.above_average(totals, "total_units")
     named = join_dimension(rich, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey")
     return ordering.ordered(
         named.select("c_custkey", "c_name", from_units("total_units").alias("total_sales")),

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ledgerline.bindings.filtered import TOTALS_SQL
 from ledgerline.bindings.registry import query
 from ledgerline.bindings.tables import customer_totals, dollars_sql, table
-from ledgerline.functions import from_units
-from ledgerline.operators.joins import join_dimension
+from ledgerline.functions import from_units, units
+from ledgerline.operators.joins import aggregate_then_join, join_dimension
 from ledgerline.operators.ordering import ascending, descending, ordered
 from ledgerline.operators.ranking import rank_rows, rank_top
+from ledgerline.workspace import freeze
 
 NAMED_SQL = f"""
 WITH {TOTALS_SQL}, named AS (
@@ -41,9 +42,15 @@ def _with_total(df: DataFrame, *others: str) -> DataFrame:
     """,
 )
 def rank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = rank_rows(
-        _named_totals(spark, sf_dir), [descending("total_units")], name="sales_rank"
+    totals = aggregate_then_join(
+        table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "customer"),
+        "o_custkey",
+        "c_custkey",
+        ["c_custkey", "c_name"],
+        {"total_units": ("sum", units("o_totalprice"))},
     )
+    ranked = rank_rows(freeze(totals), [descending("total_units")], name="sales_rank")
     return ordered(_with_total(ranked, "sales_rank"), [ascending("sales_rank")])
 
 
@@ -56,12 +63,10 @@ def rank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def rank_cte_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = rank_rows(
-        customer_totals(spark, sf_dir), [descending("total_units")], name="sales_rank"
-    )
-    named = join_dimension(ranked, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey")
+    totals = freeze(_named_totals(spark, sf_dir))
+    ranked = rank_rows(totals, [descending("total_units")], name="sales_rank")
     return ordered(
-        _with_total(named, "sales_rank").drop("c_custkey"), [ascending("sales_rank")]
+        _with_total(ranked, "sales_rank").drop("c_custkey"), [ascending("sales_rank")]
     )
 
 

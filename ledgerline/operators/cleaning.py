@@ -53,9 +53,18 @@ def parse_date_column(df: DataFrame, column: str, pattern: str = ISO_DATE) -> Da
     return df.withColumn(column, parsed_date(column, pattern))
 
 
+def null_outside_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
+    """Turn values outside the inclusive range into nulls."""
+    return df.withColumn(column, value_within(column, low, high))
+
+
 def keep_in_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    """Null out values outside the inclusive range, then drop the null rows."""
-    return df.withColumn(column, value_within(column, low, high)).na.drop(subset=[column])
+    """Drop rows whose value is null or outside the inclusive range.
+
+    This is what nulling such values and dropping the nulls leaves, written as a
+    comparison that can be pushed into the scan.
+    """
+    return df.where(F.col(column).between(low, high))
 
 
 def clean_rows(

@@ -6,13 +6,15 @@ third of the table, so ``rank_rows`` measures the groups: small ones go through
 a plain window, larger ones through range-partitioned slices whose local ranks
 are shifted by what the slices before them hold.
 
-``rank_rows`` and ``rank_top`` read their input more than once, so order columns
-need values that do not change between reads: stored columns, or exact totals
-from ``functions.money``, rather than sums of doubles.
+``rank_rows`` and ``rank_top`` read their input more than once. Order columns
+therefore need values that do not change between reads: stored columns, or exact
+totals from ``functions.money``, rather than sums of doubles. Pass an expensive
+input, such as an aggregate over a join, through ``workspace.freeze`` first.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,7 +55,7 @@ def _same(columns: Sequence[str], prefix: str) -> Column:
 
 
 def _sliced_positions(
-    keyed: DataFrame, keys: list[SortKey], groups: Sequence[str]
+    keyed: DataFrame, keys: list[SortKey], groups: Sequence[str], slices: int
 ) -> DataFrame:
     """Add to rows (groups, order columns, ``_ties``) how many keys and rows of
     their group sort up to and including them: ``_key_position``, ``_row_position``.
@@ -62,13 +64,13 @@ def _sliced_positions(
     # Slices are contiguous runs of (groups, order). They are stored, since a
     # second evaluation could draw other boundaries.
     sliced = freeze(
-        keyed.repartitionByRange(*[F.col(g) for g in groups], *order).withColumn(
+        keyed.repartitionByRange(slices, *[F.col(g) for g in groups], *order).withColumn(
             "_slice", F.spark_partition_id()
         )
     )
     local = Window.partitionBy("_slice", *groups).orderBy(*order)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = sliced.withColumns(
+    within = sliced.repartition(slices, "_slice", *groups).withColumns(
         {
             "_key_position": F.row_number().over(local).cast("bigint"),
             "_row_position": F.sum("_ties").over(upto),
@@ -110,20 +112,27 @@ def _rank_value(kind: str) -> Column:
 
 
 def _with_slices(
-    df: DataFrame, keys: list[SortKey], groups: Sequence[str], kind: str, name: str
+    df: DataFrame, keys: list[SortKey], groups: Sequence[str], kind: str, name: str, slices: int
 ) -> DataFrame:
     if kind == "row_number":
-        numbered = _sliced_positions(df.withColumn("_ties", F.lit(1)), keys, groups)
+        numbered = _sliced_positions(df.withColumn("_ties", F.lit(1)), keys, groups, slices)
         return numbered.withColumn(name, F.col("_row_position")).select(*df.columns, name)
     # Equal sort keys share a rank, so ranks are worked out on distinct keys:
     # a tie of any size is one row here.
     on = [*groups, *[key.name for key in keys]]
     distinct = df.groupBy(*on).agg(F.count("*").alias("_ties"))
-    ranked = _sliced_positions(distinct, keys, groups).withColumn(name, _rank_value(kind))
+    ranked = _sliced_positions(distinct, keys, groups, slices).withColumn(name, _rank_value(kind))
     ranked = _prefixed(ranked.select(*on, name), on, "ranked_")
     return df.join(ranked, _same(on, "ranked_")).select(*df.columns, name)
 
 
+def _slice_count(df: DataFrame, n_rows: int, slice_rows: int) -> int:
+    """Enough slices that one holds about ``slice_rows`` rows, and no fewer than
+    the session uses for any other shuffle."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, math.ceil(n_rows / max(slice_rows, 1)))
+
+
 def rank_rows(
     df: DataFrame,
     order_by: Sequence[SortKey | str],
@@ -139,28 +148,26 @@ def rank_rows(
     more than ``group_rows`` rows are ranked in slices.
     """
     keys, groups = _keys(order_by), list(partition_by)
-    if not groups:
-        if df.count() <= group_rows:
-            return _with_window(df, keys, groups, kind, name)
-        return _with_slices(df, keys, groups, kind, name)
-    # At most (rows / group_rows) groups can be large.
-    large = freeze(
-        df.groupBy(*groups)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > group_rows)
-        .select(*groups)
-    )
-    n_large = large.count()
-    if n_large == 0:
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
+    large = F.col("_n") > group_rows
+    measured = sizes.agg(
+        F.count_if(large).alias("n_large"),
+        F.sum(F.when(large, F.col("_n"))).alias("rows_in_large"),
+    ).first()
+    if not measured["n_large"]:
         return _with_window(df, keys, groups, kind, name)
-    large = _prefixed(large, groups, "large_")
-    if n_large <= BROADCAST_KEYS:
-        large = F.broadcast(large)
-    is_large = _same(groups, "large_")
-    small_part = df.join(large, is_large, "left_anti")
-    large_part = df.join(large, is_large, "left_semi")
+    slices = _slice_count(df, measured["rows_in_large"], group_rows)
+    if not groups:
+        return _with_slices(df, keys, groups, kind, name, slices)
+    # At most (rows / group_rows) groups can be large, and they are counted.
+    hot = _prefixed(freeze(sizes.where(large).select(*groups)), groups, "hot_")
+    if measured["n_large"] <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
+    is_hot = _same(groups, "hot_")
+    small_part = df.join(hot, is_hot, "left_anti")
+    large_part = df.join(hot, is_hot, "left_semi")
     return _with_window(small_part, keys, groups, kind, name).unionByName(
-        _with_slices(large_part, keys, groups, kind, name)
+        _with_slices(large_part, keys, groups, kind, name, slices)
     )
 
 

@@ -11,6 +11,7 @@ from ledgerline.operators.aggregates import department_statistics
 from ledgerline.operators.ordering import descending, ordered
 from ledgerline.operators.ranking import rank_rows
 from ledgerline.sources import read_parquet, write_csv, write_parquet
+from ledgerline.workspace import freeze
 
 EMPLOYEES = StructType(
     [
@@ -63,6 +64,8 @@ def department_report(staff: DataFrame) -> DataFrame:
 
 
 def pay_ranks(staff: DataFrame) -> DataFrame:
+    """Rank by salary within each department; ``staff`` is computed once."""
+    staff = freeze(staff)
     ranked = rank_rows(staff, [descending("salary")], ["department"], name="dept_salary_rank")
     chosen = shaping.project(
         ranked, "emp_id", "emp_name", "department", "salary", "dept_salary_rank"

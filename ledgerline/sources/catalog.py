@@ -9,12 +9,15 @@ from pyspark.sql.types import StructType
 
 _QUOTED_IDENTIFIERS = "spark.sql.ansi.doubleQuotedIdentifiers"
 
-# strftime('%Y', d) and strftime('%m', d) as a SQL function: the body is inlined
-# into the plan, so it costs what date_format costs.
+# strftime('%Y', d) and strftime('%m', d) as a SQL function, for dates kept as text
+# as well as for date columns; other text gives null. Its body becomes part of the
+# plan, so it stays in the JVM.
 _STRFTIME = """
-CREATE OR REPLACE TEMPORARY FUNCTION strftime(pattern STRING, moment TIMESTAMP_NTZ)
+CREATE OR REPLACE TEMPORARY FUNCTION strftime(pattern STRING, moment STRING)
 RETURNS STRING
-RETURN date_format(moment, replace(replace(replace(pattern, '%Y', 'yyyy'), '%m', 'MM'), '%d', 'dd'))
+RETURN date_format(
+    try_cast(moment AS TIMESTAMP_NTZ),
+    replace(replace(replace(pattern, '%Y', 'yyyy'), '%m', 'MM'), '%d', 'dd'))
 """
 
 

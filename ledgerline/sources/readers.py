@@ -35,5 +35,9 @@ def read_csv(
     return df.repartition(spread) if spread else df
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """Parquet by its declared columns, or by the columns the files state."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
