@@ -46,7 +46,8 @@ def normalise_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def normalise_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalise.dimension(sales(spark, sf_dir), "p_partkey", ["p_type", "p_brand", "p_name"])
+    flat = sales(spark, sf_dir, parts_first=True)
+    return normalise.dimension(flat, "p_partkey", ["p_type", "p_brand", "p_name"])
 
 
 # Names repeat over parts, so attributes disagree and the smallest set is taken.

@@ -60,12 +60,21 @@ def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with its order, customer, place and part."""
-    lines = join_dimension(
-        table(spark, sf_dir, "lineitem"), placed_orders(spark, sf_dir), "l_orderkey", "o_orderkey"
-    )
-    return join_dimension(lines, table(spark, sf_dir, "part"), "l_partkey", "p_partkey")
+def sales(spark: SparkSession, sf_dir: str, parts_first: bool = False) -> DataFrame:
+    """One row per line item with its order, customer, place and part.
+
+    Orders come first, so that filters on them shrink the second join. A query
+    that goes on to group by part asks for ``parts_first``: its grouping then
+    needs an exchange of its own, and a part with very many lines can be split in
+    the join (adaptive splitting keeps out of joins whose partitioning is reused).
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    part, orders = table(spark, sf_dir, "part"), placed_orders(spark, sf_dir)
+    if parts_first:
+        lines = join_dimension(lines, part, "l_partkey", "p_partkey")
+        return join_dimension(lines, orders, "l_orderkey", "o_orderkey")
+    lines = join_dimension(lines, orders, "l_orderkey", "o_orderkey")
+    return join_dimension(lines, part, "l_partkey", "p_partkey")
 
 
 SALES_SQL = """

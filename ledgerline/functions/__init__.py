@@ -2,6 +2,7 @@ from ledgerline.functions.labels import banded, two_way_label, value_within
 from ledgerline.functions.money import (
     as_money,
     from_units,
+    raised_by,
     share_of,
     units,
     units_mean,
@@ -15,6 +16,7 @@ __all__ = [
     "from_units",
     "month_text",
     "parsed_date",
+    "raised_by",
     "share_of",
     "two_way_label",
     "units",

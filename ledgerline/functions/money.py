@@ -6,6 +6,10 @@ blocks arrive. Amounts are therefore summed as whole minor units (cents for
 after every task retry, stays inside whole-stage code generation, and costs less
 than a wide decimal buffer. A sum that would leave the ``bigint`` range raises
 under ANSI mode; it never wraps.
+
+``scale`` states how many digits the stored amounts have. Amounts with no fixed
+number of digits take ``scale=None``: their totals and means are ordinary double
+aggregates.
 """
 
 from __future__ import annotations
@@ -33,26 +37,39 @@ def from_units(value: ColumnOrName, scale: int = 2) -> Column:
     return _column(value).cast("double") / F.lit(float(10**scale))
 
 
-def units_total(value: ColumnOrName, scale: int = 2) -> Column:
-    """Aggregate: exact total of an amount column, as a double."""
+def units_total(value: ColumnOrName, scale: int | None = 2) -> Column:
+    """Aggregate: total of an amount column as a double, exact at ``scale``."""
+    if scale is None:
+        return F.sum(_column(value).cast("double"))
     return from_units(F.sum(units(value, scale)), scale)
 
 
-def units_mean(value: ColumnOrName, scale: int = 2) -> Column:
-    """Aggregate: mean of an amount column from its exact total."""
+def units_mean(value: ColumnOrName, scale: int | None = 2) -> Column:
+    """Aggregate: mean of an amount column, from its exact total at ``scale``."""
+    if scale is None:
+        return F.avg(_column(value).cast("double"))
     whole = units(value, scale)
     return F.sum(whole) / F.count(whole) / F.lit(float(10**scale))
 
 
-def as_money(value: ColumnOrName, precision: int = 12, scale: int = 2) -> Column:
+def as_money(value: ColumnOrName, precision: int = 20, scale: int = 6) -> Column:
     """Amount as a decimal, for row-level products that are rounded afterwards."""
     return _column(value).cast(DecimalType(precision, scale))
 
 
+def _factor(share: str) -> Column:
+    return F.lit(share).cast(DecimalType(7, 4))
+
+
 def share_of(value: ColumnOrName, share: str, digits: int = 2) -> Column:
     """``round(value * share, digits)`` without binary half-cent errors.
 
     ``share`` is decimal text such as ``"0.10"``.
     """
-    factor = F.lit(share).cast(DecimalType(5, 2))
-    return F.round(as_money(value) * factor, digits).cast("double")
+    return F.round(as_money(value) * _factor(share), digits).cast("double")
+
+
+def raised_by(value: ColumnOrName, share: str, digits: int = 2) -> Column:
+    """``round(value + value * share, digits)`` in the same way."""
+    money = as_money(value)
+    return F.round(money + money * _factor(share), digits).cast("double")

@@ -2,7 +2,8 @@
 
 Spark combines every aggregate here inside the map tasks, so a key that holds a
 large part of the table reaches the shuffle as one row per task. Amounts are
-totalled exactly (see ``functions.money``).
+totalled exactly; ``scale`` is the number of digits they are stored with, or None
+for amounts without a fixed number of digits (see ``functions.money``).
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from ledgerline.functions import from_units, units, units_mean, units_total
 
 
-def mean_of(df: DataFrame, value: str, name: str) -> DataFrame:
-    return df.agg(units_mean(value).alias(name))
+def mean_of(df: DataFrame, value: str, name: str, scale: int | None = 2) -> DataFrame:
+    return df.agg(units_mean(value, scale).alias(name))
 
 
 def maximum_of(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -47,30 +48,32 @@ def distinct_count_by(df: DataFrame, keys: Sequence[str], value: str, name: str)
     return df.groupBy(*keys).agg(F.count_distinct(value).alias(name))
 
 
-def overall_statistics(df: DataFrame, amount: str, other: str) -> DataFrame:
+def overall_statistics(
+    df: DataFrame, amount: str, other: str, scale: int | None = 2
+) -> DataFrame:
     """Ten statistics of two columns in one row and one pass."""
     return df.agg(
         F.count("*").alias("total_rows"),
         F.count(amount).alias("non_null_amounts"),
-        F.round(units_mean(amount), 2).alias("avg_amount"),
+        F.round(units_mean(amount, scale), 2).alias("avg_amount"),
         F.round(F.min(amount), 2).alias("min_amount"),
         F.round(F.max(amount), 2).alias("max_amount"),
-        F.round(units_total(amount), 2).alias("total_amount"),
+        F.round(units_total(amount, scale), 2).alias("total_amount"),
         F.round(F.stddev(amount), 2).alias("stddev_amount"),
-        F.round(units_mean(other), 1).alias("avg_other"),
+        F.round(F.avg(other), 1).alias("avg_other"),
         F.min(other).alias("min_other"),
         F.max(other).alias("max_other"),
     )
 
 
 def sum_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int = 2
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
 ) -> DataFrame:
     return df.groupBy(*keys).agg(units_total(value, scale).alias(name))
 
 
 def mean_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int = 2
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
 ) -> DataFrame:
     return df.groupBy(*keys).agg(units_mean(value, scale).alias(name))
 
@@ -88,14 +91,15 @@ def amount_summary_by(
     total_name: str = "total_revenue",
     mean_name: str | None = "avg_order_value",
     extremes: bool = False,
+    scale: int | None = 2,
 ) -> DataFrame:
     """Rows, total, mean and (optionally) extremes of an amount per group."""
     measures = [
         F.count("*").alias(count_name),
-        F.round(units_total(amount), 2).alias(total_name),
+        F.round(units_total(amount, scale), 2).alias(total_name),
     ]
     if mean_name:
-        measures.append(F.round(units_mean(amount), 2).alias(mean_name))
+        measures.append(F.round(units_mean(amount, scale), 2).alias(mean_name))
     if extremes:
         measures.append(F.round(F.min(amount), 2).alias("min_price"))
         measures.append(F.round(F.max(amount), 2).alias("max_price"))
@@ -107,20 +111,31 @@ def groups_where(grouped: DataFrame, predicate: str) -> DataFrame:
     return grouped.where(predicate)
 
 
-def mean_of_totals(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def mean_of_totals(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
+) -> DataFrame:
     """Average of per-group totals."""
-    totals = df.groupBy(*keys).agg(F.sum(units(value)).alias("total_units"))
-    mean = F.sum(F.col("total_units").cast("decimal(38,0)")).cast("double") / F.count("total_units")
-    return totals.agg(F.round(from_units(mean), 2).alias(name))
+    if scale is None:
+        totals = df.groupBy(*keys).agg(units_total(value, None).alias("total"))
+        return totals.agg(F.round(F.avg("total"), 2).alias(name))
+    totals = df.groupBy(*keys).agg(F.sum(units(value, scale)).alias("total"))
+    # A total of very many totals may exceed a bigint; there is one row per group.
+    mean = F.sum(F.col("total").cast("decimal(38,0)")).cast("double") / F.count("total")
+    return totals.agg(F.round(from_units(mean, scale), 2).alias(name))
 
 
 def department_statistics(
-    df: DataFrame, department: str, person: str, salary: str, compensation: str
+    df: DataFrame,
+    department: str,
+    person: str,
+    salary: str,
+    compensation: str,
+    scale: int | None = 2,
 ) -> DataFrame:
     return df.groupBy(department).agg(
         F.count(person).alias("headcount"),
-        F.round(units_mean(salary), 2).alias("avg_salary"),
+        F.round(units_mean(salary, scale), 2).alias("avg_salary"),
         F.max(salary).alias("max_salary"),
         F.min(salary).alias("min_salary"),
-        F.round(units_total(compensation), 2).alias("total_compensation"),
+        F.round(units_total(compensation, scale), 2).alias("total_compensation"),
     )

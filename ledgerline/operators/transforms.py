@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import as_money, banded, share_of, two_way_label, year_number
+from ledgerline.functions import banded, raised_by, share_of, two_way_label, year_number
 from ledgerline.functions.times import ISO_DATE, parsed_date
 
 
@@ -22,9 +22,7 @@ def add_share(df: DataFrame, name: str, amount: str, share: str) -> DataFrame:
 
 def add_raised(df: DataFrame, name: str, amount: str, share: str) -> DataFrame:
     """Amount plus a ``share`` of it, to the cent."""
-    factor = F.lit(share).cast("decimal(5,2)")
-    money = as_money(amount)
-    return df.withColumn(name, F.round(money + money * factor, 2).cast("double"))
+    return df.withColumn(name, raised_by(amount, share))
 
 
 def add_label(df: DataFrame, name: str, condition: Column, yes: str, no: str) -> DataFrame:

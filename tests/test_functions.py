@@ -66,3 +66,17 @@ def test_date_parts(spark):
     df = spark.sql("SELECT DATE'2024-03-09' AS d")
     row = df.select(fn.year_number("d"), fn.year_text("d"), fn.month_text("d")).first()
     assert tuple(row) == (2024, "2024", "03")
+
+
+def test_amounts_without_fixed_digits(spark):
+    df = spark.createDataFrame([(0.001,), (0.001,), (0.001,)], "x double")
+    assert df.agg(fn.units_total("x")).first()[0] == 0.0
+    assert df.agg(fn.units_total("x", 3)).first()[0] == 0.003
+    assert abs(df.agg(fn.units_total("x", None)).first()[0] - 0.003) < 1e-12
+    assert abs(df.agg(fn.units_mean("x", None)).first()[0] - 0.001) < 1e-12
+
+
+def test_shares_use_all_stored_digits(spark):
+    df = spark.createDataFrame([(100.049,), (1.005,)], "x double")
+    assert [r[0] for r in df.select(fn.share_of("x", "0.10")).collect()] == [10.0, 0.1]
+    assert [r[0] for r in df.select(fn.raised_by("x", "0.10")).collect()] == [110.05, 1.11]
