@@ -221,7 +221,8 @@ def having_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = profit_by_part(spark, sf_dir).select(
         "p_partkey", from_units("profit_units", PROFIT_SCALE).alias("total_profit")
     )
-    return ordered(aggregates.groups_where(totals, "total_profit < 0"), [ascending("total_profit")])
+    losses = aggregates.groups_where(totals, "total_profit < 0")
+    return ordered(losses, [ascending("total_profit"), "p_partkey"])
 
 
 @query(
@@ -444,7 +445,7 @@ def max_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["c_custkey", "c_name"],
         {"highest_order_value": ("max", "o_totalprice")},
     )
-    return ordered(highest, [descending("highest_order_value")])
+    return ordered(highest, [descending("highest_order_value"), "c_custkey"])
 
 
 @query(
@@ -475,7 +476,7 @@ def single_order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     single = aggregates.groups_where(counted, "n_orders = 1")
     named = join_dimension(single, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey")
-    return ordered(named.select("c_custkey", "c_name", "n_orders"), [ascending("c_name")])
+    return ordered(named.select("c_custkey", "c_name", "n_orders"), [ascending("c_name"), "c_custkey"])
 
 
 @query(

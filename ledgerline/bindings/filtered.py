@@ -176,7 +176,7 @@ def cte_above_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = join_dimension(rich, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey")
     return ordering.ordered(
         named.select("c_custkey", "c_name", from_units("total_units").alias("total_sales")),
-        [ordering.descending("total_sales")],
+        [ordering.descending("total_sales"), "c_custkey"],
     )
 
 
@@ -194,5 +194,5 @@ def join_cte_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ordering.ordered(
         named.select("c_custkey", "c_name", from_units("total_units").alias("total_sales")),
-        [ordering.descending("total_sales")],
+        [ordering.descending("total_sales"), "c_custkey"],
     )

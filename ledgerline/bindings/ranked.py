@@ -51,7 +51,7 @@ def rank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"total_units": ("sum", units("o_totalprice"))},
     )
     ranked = rank_rows(freeze(totals), [descending("total_units")], name="sales_rank")
-    return ordered(_with_total(ranked, "sales_rank"), [ascending("sales_rank")])
+    return ordered(_with_total(ranked, "sales_rank"), [ascending("sales_rank"), "c_custkey"])
 
 
 @query(
@@ -65,8 +65,8 @@ def rank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rank_cte_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = freeze(_named_totals(spark, sf_dir))
     ranked = rank_rows(totals, [descending("total_units")], name="sales_rank")
-    return ordered(
-        _with_total(ranked, "sales_rank").drop("c_custkey"), [ascending("sales_rank")]
+    return ordered(_with_total(ranked, "sales_rank"), [ascending("sales_rank"), "c_custkey"]).drop(
+        "c_custkey"
     )
 
 
@@ -188,4 +188,4 @@ def rank_within_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = rank_rows(
         customer, [descending("c_acctbal")], ["c_mktsegment"], name="segment_rank"
     )
-    return ordered(ranked, ["c_mktsegment", "segment_rank"])
+    return ordered(ranked, ["c_mktsegment", "segment_rank", "c_custkey"])

@@ -46,6 +46,11 @@ def sort_columns(keys: Sequence[SortKey | str]) -> list[Column]:
 
 
 def ordered(df: DataFrame, keys: Sequence[SortKey | str]) -> DataFrame:
+    """Globally sorted rows.
+
+    Rows with equal keys are sorted by one task. Where many may be equal, end the
+    keys with a unique column, which lets the ties be spread as well.
+    """
     return df.orderBy(*sort_columns(keys))
 
 

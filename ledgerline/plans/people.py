@@ -70,7 +70,7 @@ def pay_ranks(staff: DataFrame) -> DataFrame:
     chosen = shaping.project(
         ranked, "emp_id", "emp_name", "department", "salary", "dept_salary_rank"
     )
-    return ordered(chosen, ["department", "dept_salary_rank"])
+    return ordered(chosen, ["department", "dept_salary_rank", "emp_id"])
 
 
 def save_staff(staff: DataFrame, report: DataFrame, target: str) -> DataFrame:

@@ -84,6 +84,26 @@ def test_hot_key_joins_as_one_row(spark):
     assert {r["parity"]: r["n"] for r in out.collect()} == {0: 500, 1: 2500}
 
 
+def test_hot_key_of_a_row_level_join_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    own = spark.newSession()
+    for name, value in settings.items():
+        own.conf.set(name, value)
+    fact = own.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.rand(1).alias("x")
+    )
+    dim = own.range(60000).select(F.col("id").alias("d"))
+    joined = join_dimension(fact, dim, "k", "d")
+    assert len(joined.collect()) == 60000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_summaries(spark, rows):
     df = spark.createDataFrame([("w", 1.0), ("w", 2.0), ("e", None)], "region string, price double")
     summary = aggregates.amount_summary_by(df, ["region"], "price", extremes=True)
@@ -111,6 +131,13 @@ def test_dimension_choice_does_not_depend_on_row_order(spark, rows):
         assert rows(normalise.dimension(df, "k", ["v", "w"])) == [(1, "a", "y"), (2, None, "q")]
 
 
+def test_dimension_hashes_copies_away_before_it_sorts(spark, tmp_path, plan_of):
+    path = str(tmp_path / "flat")
+    spark.range(10).selectExpr("id AS k", "'a' AS v").write.parquet(path)
+    plan = plan_of(normalise.dimension(spark.read.parquet(path), "k", ["v"]))
+    assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
+
+
 def test_key_checks(spark, rows):
     child = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "k int, v string")
     parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id int")
