@@ -15,10 +15,11 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ledgerline.functions import from_units, units
 from ledgerline.operators import cleaning, transforms
-from ledgerline.operators.aggregates import amount_summary_by
 from ledgerline.operators.ordering import ascending, descending, ordered, top_k
 from ledgerline.sources import read_csv, write_csv
+from ledgerline.workspace import freeze
 
 TRANSACTIONS = StructType(
     [
@@ -100,9 +101,19 @@ class RevenueReports:
 
 
 def revenue_reports(cleaned: DataFrame) -> RevenueReports:
-    by_category = amount_summary_by(cleaned, ["product_category"], "price")
-    by_region = amount_summary_by(cleaned, ["region"], "price")
-    by_city = amount_summary_by(cleaned, ["city"], "price", mean_name=None)
+    """All reports from one run over the transactions.
+
+    Counts and totals add up, so the transactions are summarised once at the
+    finest level the reports share; the stored summary then serves all three.
+    """
+    summary = freeze(
+        cleaned.groupBy("product_category", "region", "city").agg(
+            F.count("*").alias("n"), F.sum(units("price")).alias("price_units")
+        )
+    )
+    by_category = _report(summary, "product_category")
+    by_region = _report(summary, "region")
+    by_city = _report(summary, "city").drop("avg_order_value")
     return RevenueReports(
         by_category=ordered(by_category, [descending("total_revenue")]),
         by_region=ordered(by_region, [descending("total_revenue")]),
@@ -110,6 +121,15 @@ def revenue_reports(cleaned: DataFrame) -> RevenueReports:
     )
 
 
+def _report(summary: DataFrame, key: str) -> DataFrame:
+    transactions, revenue = F.sum("n"), F.sum("price_units")
+    return summary.groupBy(key).agg(
+        transactions.alias("transactions"),
+        F.round(from_units(revenue), 2).alias("total_revenue"),
+        F.round(from_units(revenue / transactions), 2).alias("avg_order_value"),
+    )
+
+
 def run_revenue_job(spark: SparkSession, source: str, target: str) -> RevenueReports:
     """Load, clean, report, and write the category and region reports below ``target``."""
     reports = revenue_reports(clean_transactions(load_transactions(spark, source)))
