@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.bindings.registry import query
 from ledgerline.bindings.tables import SALES_SQL, cents_sql, dollars_sql, sales, table
+from ledgerline.functions import from_units, units
 from ledgerline.operators import layout, normalise, quality
-from ledgerline.operators.aggregates import sum_by
 
 FACT_COLUMNS = [
     "l_orderkey",
@@ -109,8 +109,12 @@ def repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = layout.repartition_by_key(
         orders, ["o_orderpriority"], 2 * spark.sparkContext.defaultParallelism, spread
     )
-    usage = layout.partition_usage(dealt, ["o_orderpriority"]).select(
-        "o_orderpriority", "n_rows", (F.col("n_partitions") <= spread).alias("within_spread")
+    usage = layout.partition_usage(
+        dealt, ["o_orderpriority"], {"total_units": units("o_totalprice")}
+    )
+    return usage.select(
+        "o_orderpriority",
+        "n_rows",
+        (F.col("n_partitions") <= spread).alias("within_spread"),
+        from_units("total_units").alias("total_sales"),
     )
-    totals = sum_by(dealt, ["o_orderpriority"], "o_totalprice", "total_sales")
-    return usage.join(totals, "o_orderpriority")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,11 +27,19 @@ def repartition_by_key(
     )
 
 
-def partition_usage(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key and the number of partitions that hold them."""
+def partition_usage(
+    df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Rows per key and the number of partitions that hold them.
+
+    ``sums`` names further columns to total per key in the same pass.
+    """
+    sums = sums or {}
     per_partition = df.groupBy(*keys, F.spark_partition_id().alias("_partition")).agg(
-        F.count("*").alias("_n")
+        F.count("*").alias("_n"), *[F.sum(column).alias(name) for name, column in sums.items()]
     )
     return per_partition.groupBy(*keys).agg(
-        F.sum("_n").alias("n_rows"), F.count("*").alias("n_partitions")
+        F.sum("_n").alias("n_rows"),
+        F.count("*").alias("n_partitions"),
+        *[F.sum(name).alias(name) for name in sums],
     )

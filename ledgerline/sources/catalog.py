@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -51,8 +52,17 @@ def run_query(
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """Rows written in code as a table; for small lookups only."""
-    return spark.createDataFrame(list(rows), schema=schema)
+    """Rows written in code as a table; for small lookups only.
+
+    They travel as an Arrow table, which gives a local relation: Spark then knows
+    its size and broadcasts it in a join instead of shuffling the other side.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = {
+        field.name: pa.array([row[i] for row in rows]) for i, field in enumerate(schema.fields)
+    }
+    return spark.createDataFrame(pa.table(columns), schema=schema)
 
 
 def declare_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:

@@ -137,6 +137,13 @@ def test_strftime_on_text_and_dates(spark):
 def test_inline_rows_and_views(spark, rows):
     df = sources.inline_table(spark, [(1, "a"), (2, None)], "id int, v string")
     assert rows(sources.register_view(df, "v_inline")) == [(1, "a"), (2, None)]
+    assert sources.inline_table(spark, [], "id int, v string").count() == 0
+
+
+def test_inline_lookup_is_the_broadcast_side(spark, plan_of):
+    lookup = sources.inline_table(spark, [(1, "a"), (2, None)], "id bigint, v string")
+    joined = spark.range(10**9).join(lookup, "id")
+    assert "LocalTableScan" in plan_of(joined) and "BroadcastHashJoin" in plan_of(joined)
 
 
 def test_freeze_cuts_lineage(spark):
