@@ -236,18 +236,23 @@ def copy_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "file_metadata",
     """
-    SELECT 'lineitem.parquet' AS file_name, TRUE AS has_bytes, count(*) AS n_rows FROM lineitem
-    UNION ALL SELECT 'orders.parquet', TRUE, count(*) FROM orders
-    UNION ALL SELECT 'customer.parquet', TRUE, count(*) FROM customer
+    SELECT 'lineitem' AS table_name, TRUE AS has_files, TRUE AS has_bytes, count(*) AS n_rows
+    FROM lineitem
+    UNION ALL SELECT 'orders', TRUE, TRUE, count(*) FROM orders
+    UNION ALL SELECT 'customer', TRUE, TRUE, count(*) FROM customer
     """,
 )
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["lineitem", "orders", "customer"]
-    found = sources.file_metadata(spark, sf_dir).select(
-        "file_name", (F.col("file_size") > 0).alias("has_bytes")
-    )
-    rows = aggregates.row_counts({f"{n}.parquet": table(spark, sf_dir, n) for n in names})
-    return found.join(rows.withColumnRenamed("table_name", "file_name"), "file_name")
+    found = None
+    for name in names:
+        files = sources.file_metadata(spark, f"{sf_dir}/{name}.parquet").agg(
+            (F.count("*") > 0).alias("has_files"), (F.sum("file_size") > 0).alias("has_bytes")
+        )
+        one = files.select(F.lit(name).alias("table_name"), "has_files", "has_bytes")
+        found = one if found is None else found.unionByName(one)
+    rows = aggregates.row_counts({name: table(spark, sf_dir, name) for name in names})
+    return found.join(rows, "table_name")
 
 
 @query(
