@@ -26,7 +26,10 @@ def _column(value: ColumnOrName) -> Column:
 
 
 def units(value: ColumnOrName, scale: int = 2) -> Column:
-    """Amount with at most ``scale`` stored digits as a whole number of units."""
+    """Amount with at most ``scale`` stored digits as a whole number of units.
+
+    Exact while the amount has at most 15 significant digits, as a double must.
+    """
     if scale == 0:
         return _column(value).cast("bigint")
     return F.rint(_column(value).cast("double") * F.lit(float(10**scale))).cast("bigint")

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from ledgerline.operators.ordering import SortKey, sort_columns
 from ledgerline.workspace import freeze
 
-# A sorted group of this many narrow rows is comfortable for one task.
-GROUP_ROWS = 5_000_000
+# One task sorts a group of this many rows without strain, wide rows included.
+GROUP_ROWS = 1_000_000
 
 # A table of large groups' keys up to this many rows may be sent to every task.
 BROADCAST_KEYS = 100_000

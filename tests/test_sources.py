@@ -156,3 +156,38 @@ def test_workspace_is_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace.fresh_path(spark, "t"), workspace.fresh_path(spark, "t")
     assert first.startswith(folder) and first != second
+
+
+class _Session:
+    """Stands in for a session whose checkpoint folder is not set."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, name, default=None):
+        return default
+
+    def getConf(self):
+        return self
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(_Session("yarn"))
+
+
+def test_a_local_session_gets_a_folder_once(tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    local = _Session("local[2]")
+    assert workspace.shared_folder(local) == str(tmp_path)
+    assert local.folder == str(tmp_path)
+    assert workspace.shared_folder(local) == str(tmp_path)
