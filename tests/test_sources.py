@@ -146,12 +146,23 @@ def test_inline_lookup_is_the_broadcast_side(spark, plan_of):
     assert "LocalTableScan" in plan_of(joined) and "BroadcastHashJoin" in plan_of(joined)
 
 
-def test_freeze_cuts_lineage(spark):
-    frozen = workspace.freeze(spark.range(10).selectExpr("id * 2 AS x"))
-    assert "ExistingRDD" in frozen._jdf.queryExecution().executedPlan().toString()
+def test_freeze_is_a_table_of_its_own(spark, plan_of):
+    frozen = workspace.freeze(spark.range(10).selectExpr("id * 2 AS x", "id AS y"))
+    pruned = plan_of(frozen.where("x > 4").select("x"))
+    assert "PushedFilters: [IsNotNull(x), GreaterThan(x,4)]" in pruned
+    assert "ReadSchema: struct<x:bigint>" in pruned and "Range" not in pruned
     assert frozen.agg({"x": "sum"}).first()[0] == 90
 
 
+def test_release_deletes_only_stored_tables(spark, tmp_path):
+    frozen = workspace.freeze(spark.range(5))
+    folder = frozen.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "").replace("file:", "")
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    workspace.release(frozen, kept)
+    assert not Path(folder).exists() and kept.count() == 3
+
+
 def test_workspace_is_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace.fresh_path(spark, "t"), workspace.fresh_path(spark, "t")
@@ -176,18 +187,15 @@ class _Session:
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
 
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_folder(_Session("yarn"))
 
 
-def test_a_local_session_gets_a_folder_once(tmp_path, monkeypatch):
-    monkeypatch.setattr(workspace.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
-    local = _Session("local[2]")
-    assert workspace.shared_folder(local) == str(tmp_path)
-    assert local.folder == str(tmp_path)
-    assert workspace.shared_folder(local) == str(tmp_path)
+def test_a_local_session_uses_its_warehouse():
+    class Local(_Session):
+        def get(self, name, default=None):
+            return "/warehouse/" if name == "spark.sql.warehouse.dir" else default
+
+    assert workspace.shared_folder(Local("local[2]")) == "/warehouse"
