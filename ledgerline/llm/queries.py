@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import packing
+from ledgerline.llm import near_duplicates, packing
 from ledgerline.sources import read_parquet
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -20,9 +20,46 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_groups(documents(spark, sf_dir), shingle_words=4, percent=80)
+
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(words) >= 4
+        THEN list_distinct(list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+    FROM texts
+), sized AS (
+    SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM sets
+), items AS (
+    SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b
+    WHERE 100 * n >= 80 * (p.n_shingles + q.n_shingles - n)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM sized
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), components AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN components USING (doc_id)
+"""
+
+
 def queries() -> dict:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
+    }
