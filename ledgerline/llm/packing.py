@@ -118,16 +118,86 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> tuple[list[Run
     return runs, sequences
 
 
-_loaded: dict[int, tuple] = {}
+_loaded: dict[int, _WordEncoder] = {}
 
 
-def _word_encoder(definition: str) -> tuple:
-    """The tokenizer of a definition and the spellings seen so far, per process."""
-    from tokenizers import Tokenizer
+def _byte_letters() -> dict[int, str]:
+    """Characters that byte-level vocabularies use for bytes: printable ones stand
+    for themselves, the others follow from code point 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+
+
+class _WordEncoder:
+    """Ids of single spellings, remembered. One per process and definition."""
+
+    def __init__(self, definition: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
+        self.seen: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.marks = {mark: self._whole([mark])[0] for mark in ".,"}
+        # A special token that may stand between words that are encoded together.
+        special = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.between = special[0][0] if special else None
+        self.border = special[0][1].content if special else None
+        # Words of letters may go to the model directly, if it gives the same ids.
+        probe = ["the", "über", "ciónñ", "x", "antidisestablishment"]
+        self.direct = [self._letters(w) for w in probe] == self._whole(probe)
+
+    def _letters(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word)])
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Words without special tokens, in one call."""
+        ids = np.array(self.tokenizer.encode(self.border.join(words), add_special_tokens=False).ids, dtype="<u4")
+        cuts = (4 * np.flatnonzero(ids == self.between)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)], strict=True)]
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        out: dict[str, bytes] = {}
+        rest, odd = [], []
+        for word in words:
+            mark = word[-1:] if word[-1:] in (".", ",") else ""
+            core = word[:-1] if mark else word
+            if self.direct and core.isalpha() and core.islower() and _is_latin1(core):
+                out[word] = self._letters(core) + (self.marks[mark] if mark else b"")
+            elif self.border and "<|" not in word:
+                rest.append(word)
+            else:
+                odd.append(word)
+        for first in range(0, len(rest), 4096):
+            part = rest[first : first + 4096]
+            out.update(zip(part, self._together(part), strict=True))
+        out.update(zip(odd, self._whole(odd), strict=True))
+        return [out[word] for word in words]
+
+
+def _is_latin1(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
 
+def _word_encoder(definition: str) -> _WordEncoder:
     key = hash(definition)
     if key not in _loaded:
-        _loaded[key] = (Tokenizer.from_str(definition), {})
+        _loaded[key] = _WordEncoder(definition)
     return _loaded[key]
 
 
@@ -136,14 +206,7 @@ def _spelling(text: str) -> str:
     but special tokens are found before lower-casing, and outside Latin-1 the rules
     of libraries differ.
     """
-    if "<|" in text:
-        return text
-    if not text.isascii():
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-    return text.lower()
+    return text.lower() if "<|" not in text and _is_latin1(text) else text
 
 
 def token_bytes(texts: list[str], definition: str) -> list[bytes]:
@@ -152,24 +215,22 @@ def token_bytes(texts: list[str], definition: str) -> list[bytes]:
     No token spans a space or a line break, so the stretches between them are
     encoded once per distinct spelling.
     """
-    tokenizer, seen = _word_encoder(definition)
+    encoder = _word_encoder(definition)
+    seen = encoder.seen
     split = [_spelling(text).replace("\n", " ").split(" ") for text in texts]
     missing = list({word for words in split for word in words if word not in seen})
     if len(seen) + len(missing) > CACHED_WORDS:
         seen.clear()
         missing = list({word for words in split for word in words})
     long = {}
-    for first in range(0, len(missing), 4096):
-        part = missing[first : first + 4096]
-        for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            (seen if len(word) <= CACHED_CHARS else long)[word] = ids
+    for word, ids in zip(missing, encoder.encode(missing), strict=True):
+        (seen if len(word) <= CACHED_CHARS else long)[word] = ids
     if long:
         return [b"".join([seen[w] if w in seen else long[w] for w in words]) for words in split]
     return [b"".join([seen[w] for w in words]) for words in split]
 
 
-def _pieces(definition, capacity: int, id_type: pa.DataType):
+def _pieces(definition, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -239,7 +300,7 @@ def pack_documents(
             StructField("_rank", LongType()),
         ]
     )
-    pieces = freeze(source.mapInArrow(_pieces(definition, max_tokens, None), schema), "pieces")
+    pieces = freeze(source.mapInArrow(_pieces(definition, max_tokens), schema), "pieces")
     per_part = freeze(pieces.groupBy("length", "_part").agg(F.count("*").alias("pieces")), "piece-counts")
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("pieces").alias("n")).collect()}
     runs, _ = best_fit_decreasing(counts, max_tokens)
