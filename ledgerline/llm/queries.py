@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import near_duplicates, packing
+from ledgerline.llm import line_templates, near_duplicates, packing
 from ledgerline.sources import read_parquet
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -20,18 +20,75 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_templates.drop_recurring_lines(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
+LINE_TEMPLATES_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
+    FROM documents
+), tokens AS (
+    SELECT doc_id, text, place,
+        [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
+         FOR t IN string_split_regex(line, '[ \t\r\f\x0b]+') IF t <> ''] AS tokens
+    FROM lines
+), parsed AS (
+    SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM tokens WHERE len(tokens) >= 3
+), distinct_lines AS (
+    SELECT DISTINCT n, lead, tokens FROM parsed
+), sizes AS (
+    SELECT n, lead, count(*) AS lines FROM distinct_lines GROUP BY n, lead HAVING count(*) > 1
+), places AS (
+    SELECT n, lead, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i
+    FROM distinct_lines JOIN sizes USING (n, lead)
+), votes AS (
+    SELECT n, lead, i, token, count(*) AS c FROM places GROUP BY ALL
+), tops AS (
+    SELECT n, lead, i, token, c FROM (
+        SELECT *, row_number() OVER (PARTITION BY n, lead, i ORDER BY c DESC, token DESC) AS k FROM votes) WHERE k = 1
+), template AS (
+    SELECT n, lead, i, token FROM tops JOIN sizes USING (n, lead) WHERE c * 2 >= lines
+), spread AS (
+    SELECT n, lead, tokens, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i
+    FROM distinct_lines JOIN sizes USING (n, lead)
+), general AS (
+    SELECT s.n, s.lead, s.tokens FROM spread s JOIN template t
+    ON s.n = t.n AND s.lead = t.lead AND s.i = t.i AND s.token = t.token
+    GROUP BY s.n, s.lead, s.tokens HAVING count(*) >= s.n * CAST(0.8 AS DOUBLE)
+), mapped AS (
+    SELECT p.doc_id, p.text, p.place, p.n, p.lead, CASE WHEN g.n IS NOT NULL THEN ['<general>', '<general>'] ELSE p.tokens END AS template
+    FROM parsed p LEFT JOIN general g ON p.n = g.n AND p.lead = g.lead AND p.tokens = g.tokens
+), recurring AS (
+    SELECT n, lead, template FROM mapped GROUP BY n, lead, template HAVING count(DISTINCT text) >= 2
+), ordered AS (
+    SELECT m.doc_id, m.place, row_number() OVER (PARTITION BY m.n, m.lead, m.template ORDER BY m.doc_id, m.place) AS k
+    FROM mapped m JOIN recurring r ON m.n = r.n AND m.lead = r.lead AND m.template = r.template
+), dropped AS (
+    SELECT doc_id, place FROM ordered WHERE k > 1
+), rebuilt AS (
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.place) FILTER (d.place IS NULL) AS text,
+        count(*) AS n_lines, count(d.place) AS n_dropped
+    FROM lines l LEFT JOIN dropped d ON l.doc_id = d.doc_id AND l.place = d.place GROUP BY l.doc_id
+)
+SELECT doc_id, coalesce(text, '') AS text, n_lines, n_dropped FROM rebuilt
+"""
+
+
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(documents(spark, sf_dir), shingle_words=4, percent=80)
 
 
 NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE texts AS (
-    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+    SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> ''] AS words
     FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN len(words) >= 4
-        THEN list_distinct(list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')))
+        THEN list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)])
         WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
     FROM texts
 ), sized AS (
@@ -42,7 +99,7 @@ WITH RECURSIVE texts AS (
     SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
     FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
 ), links AS (
-    SELECT a, b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b
+    SELECT shared.a, shared.b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b
     WHERE 100 * n >= 80 * (p.n_shingles + q.n_shingles - n)
 ), reach AS (
     SELECT doc_id AS a, doc_id AS b FROM sized
@@ -61,5 +118,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_line_template_dedup": LINE_TEMPLATES_SQL,
         "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
     }
