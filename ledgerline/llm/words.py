@@ -22,6 +22,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words: white space, or anything but letters.
+WHITE_SPACE = _SPACE
+LETTERS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -46,13 +49,15 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    texts: list[bytes], between: np.ndarray = WHITE_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts (each followed by a line break), word starts and ends
     in them, and for each text the index of its first word (one more at the end).
     """
     data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
     word = np.zeros(len(data) + 2, dtype=np.int8)
-    word[1:-1] = ~_SPACE[data]
+    word[1:-1] = ~between[data]
     edges = np.flatnonzero(np.diff(word))
     starts, ends = edges[0::2], edges[1::2]
     places = np.zeros(len(texts) + 1, dtype=np.int64)
@@ -60,9 +65,9 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return data, starts, ends, np.searchsorted(starts, places)
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes], between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the texts, and the first word of each text."""
-    data, starts, ends, bounds = word_spans(texts)
+    data, starts, ends, bounds = word_spans(texts, between)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), bounds
     lengths = ends - starts
