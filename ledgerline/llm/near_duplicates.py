@@ -11,10 +11,11 @@
    limit are discarded.
 4. Pairs that remain are confirmed on the full sets.
 
-A bucket is never expanded into all its pairs at first: each member is compared
-with its most promising bucket leader. Most members get their component from
-that. Afterwards only pairs of one bucket that still have different components
-are compared, so no link between components is lost.
+A bucket is not expanded into all its pairs. In a few rounds each bucket has a
+leader, and every member is confirmed against the leader that it seems most
+similar to; most members get their component from that. Afterwards only pairs
+of one bucket that still have different components are compared, so no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import words
@@ -36,6 +37,7 @@ ROWS = 4  # minima per band: 32 bands; a pair at 0.8 shares none with probabilit
 BITS = 2  # kept of each minimum
 LANES = 64 // BITS
 PACKED = HASHES // LANES
+LEADER_ROUNDS = 3
 
 _random = np.random.Generator(np.random.PCG64(771))
 _FACTORS = _random.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -130,24 +132,17 @@ def lowest_estimate(similarity: float, deviations: float = 5.0) -> float:
     return similarity - deviations * math.sqrt(agree * (1 - agree) / HASHES) / (1 - chance)
 
 
-def estimate(a: str, b: str):
+def estimate(a: Column, b: Column) -> Column:
     """Column: similarity from two signatures, corrected for chance agreement.
 
     A lane differs if either of its bits does; folding both bits onto the lower one
     leaves one bit per differing lane to count.
     """
     mask = F.lit(0x5555555555555555).cast("bigint")
-    differing = sum(
-        (
-            F.bit_count(
-                (F.col(a)[i].bitwiseXOR(F.col(b)[i]))
-                .bitwiseOR(F.shiftrightunsigned(F.col(a)[i].bitwiseXOR(F.col(b)[i]), 1))
-                .bitwiseAND(mask)
-            )
-            for i in range(PACKED)
-        ),
-        F.lit(0),
-    )
+    differing = F.lit(0)
+    for i in range(PACKED):
+        bits = a[i].bitwiseXOR(b[i])
+        differing += F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(mask))
     chance = 2.0**-BITS
     return (1 - differing / HASHES - chance) / (1 - chance)
 
@@ -203,74 +198,81 @@ def near_duplicate_groups(
         "representatives",
     )
     keyed = standing.select("rep", F.explode("bands").alias("key"))
-    leaders = freeze(
-        keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("_last"))
-        .where("leader < _last").drop("_last"),
-        "leaders",
-    )
-    members = freeze(keyed.join(leaders, "key"), "members")
-    signature = standing.select("rep", "signature")
-    lowest = lowest_estimate(percent / 100)
-
-    left = signature.select(F.col("rep").alias("a"), F.col("signature").alias("_a"))
-    right = signature.select(F.col("rep").alias("b"), F.col("signature").alias("_b"))
-    first = (
-        members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-        .join(right, "b").join(left, "a")
-        .select("a", "b", estimate("_a", "_b").alias("_estimate"))
-        .where(F.col("_estimate") >= lowest)
-    )
-    first = freeze(first.groupBy("b").agg(F.max_by("a", F.struct("_estimate", -F.col("a"))).alias("a")), "first-pairs")
-    labels = members.select("rep").distinct()
-
-    def full_sets(ids: DataFrame) -> DataFrame:
-        wanted = ids.select(F.col("rep").alias("doc_id")).distinct()
-        texts = source.join(wanted, "doc_id", "left_semi")
-        return freeze(texts.mapInArrow(_full_sets(shingle_words), "rep bigint, shingles array<bigint>"), "full-sets")
-
-    def both_ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-
-    links = freeze(_confirmed(first, full_sets(both_ends(first)), percent), "links")
-    groups = freeze(connected_components(links), "groups")
-    labels = freeze(
-        labels.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "rep", F.coalesce("component", "rep").alias("component")
-        ),
-        "labels",
-    )
-
-    # What is left: pairs within a bucket that the first links did not bring together.
-    placed = freeze(members.select("key", "rep").join(labels, "rep"), "placed")
-    mixed = freeze(
-        placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    shared = freeze(
+        keyed.groupBy("key").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"))
         .where("_low < _high").select("key"),
-        "mixed-buckets",
+        "shared-buckets",
     )
-    open_ = freeze(placed.join(mixed, "key", "left_semi").join(signature, "rep"), "open")
-    a, b = open_.alias("x"), open_.alias("y")
-    second = (
-        a.join(
-            b,
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.component") < F.col("y.component"))
-            & (estimate("x.signature", "y.signature") >= lowest),
-        )
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
+    members = freeze(
+        keyed.join(shared, "key", "left_semi").join(standing.select("rep", "signature"), "rep"), "members"
     )
-    second = freeze(second, "second-pairs")
-    if second.limit(1).count():
-        more = _confirmed(second, full_sets(both_ends(second)), percent)
-        joined = more.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
-        over = freeze(connected_components(joined.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "groups")
-        labels = freeze(
+    labels = freeze(members.select("rep").distinct().withColumn("component", F.col("rep")), "labels")
+    lowest = lowest_estimate(percent / 100)
+    sets = None
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Components over the pairs (a, b) that the full sets confirm."""
+        nonlocal sets
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        if sets is not None:
+            wanted = wanted.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+        texts = source.join(freeze(wanted, "wanted").hint("merge"), "doc_id", "left_semi")
+        more = freeze(
+            texts.mapInArrow(_full_sets(shingle_words), "rep bigint, shingles array<bigint>").dropDuplicates(["rep"]),
+            "full-sets",
+        )
+        sets = more if sets is None else sets.unionByName(more)
+        ends = _confirmed(pairs, sets, percent)
+        near = ends.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
+        over = freeze(connected_components(near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "groups")
+        return freeze(
             labels.join(over.toDF("component", "_over"), "component", "left").select(
                 "rep", F.coalesce("_over", "component").alias("component")
             ),
             "labels",
         )
 
+    def undecided(rows: DataFrame) -> DataFrame:
+        """Members of buckets that still hold more than one component."""
+        placed = freeze(rows.drop("component").join(labels, "rep"), "placed")
+        mixed = freeze(
+            placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+            .where("_low < _high").select("key"),
+            "mixed-buckets",
+        )
+        return freeze(placed.join(mixed, "key", "left_semi"), "undecided")
+
+    open_ = members.withColumn("component", F.col("rep"))
+    for turn in range(LEADER_ROUNDS):
+        # Another leader in each bucket and round: a member meets up to one per band.
+        chosen = F.min_by(F.struct("rep", "component", "signature"), F.xxhash64("rep", "key", F.lit(turn)))
+        leaders = freeze(open_.groupBy("key").agg(chosen.alias("leader")), "leaders")
+        met = (
+            open_.join(leaders, "key").where(F.col("component") != F.col("leader.component"))
+            .select(F.col("leader.rep").alias("a"), F.col("rep").alias("b"),
+                    estimate(F.col("leader.signature"), F.col("signature")).alias("_estimate"))
+            .where(F.col("_estimate") >= lowest)
+        )
+        best = met.groupBy("b").agg(F.max(F.struct("_estimate", F.col("a"))).alias("_best"))
+        labels = linked(freeze(best.select(F.col("_best.a").alias("a"), "b"), "pairs"))
+        open_ = undecided(open_)
+
+    # What is left: pairs within a bucket that the leaders did not bring together.
+    x, y = open_.alias("x"), open_.alias("y")
+    rest = freeze(
+        x.join(
+            y,
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.component") < F.col("y.component"))
+            & (estimate(F.col("x.signature"), F.col("y.signature")) >= lowest),
+        )
+        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        .distinct(),
+        "pairs",
+    )
+    if rest.limit(1).count():
+        labels = linked(rest)
+
     named = freeze(
         classes.join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("_component")),
         "class-labels",
