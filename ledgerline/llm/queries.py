@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import line_templates, near_duplicates, packing, toxicity
+from ledgerline.llm import decontamination, line_templates, near_duplicates, packing, toxicity
 from ledgerline.sources import read_parquet
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/benchmark.parquet")
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(PACKING_TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -120,6 +124,10 @@ def op7_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def queries() -> dict:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
