@@ -5,10 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontamination, line_templates, near_duplicates, packing, toxicity
+from ledgerline.llm import (
+    decontamination,
+    importance,
+    line_templates,
+    metric_tree,
+    near_duplicates,
+    packing,
+    token_counts,
+    toxicity,
+)
 from ledgerline.sources import read_parquet
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
+COUNTING_MODEL = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +130,10 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM size
 """
 
 
+def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(COUNTING_MODEL))
+
+
 def op7_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -128,6 +142,33 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.find_leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_sample(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op10_metric_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.top_inner_products(read_parquet(spark, f"{sf_dir}/embeddings.parquet"))
+
+
+TOP_K_SQL = """
+WITH vectors AS (
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+    SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM vectors
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0 GROUP BY 1, 2
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def queries() -> dict:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
@@ -136,4 +177,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_template_dedup": LINE_TEMPLATES_SQL,
         "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
+        "op10_metric_tree_top_k": TOP_K_SQL,
     }
