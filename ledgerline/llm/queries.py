@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     decontamination,
     importance,
+    language,
     line_templates,
     metric_tree,
     near_duplicates,
     packing,
+    personal_data,
     token_counts,
     toxicity,
 )
@@ -38,6 +41,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_viterbi_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_templates.drop_recurring_lines(documents(spark, sf_dir))
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
@@ -95,6 +102,15 @@ SELECT doc_id, coalesce(text, '') AS text, n_lines, n_dropped FROM rebuilt
 """
 
 
+def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(documents(spark, sf_dir))
+    counts = [personal_data.kind_count(F.col("base"), kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    base = personal_data.span_text(F.col("base"))
+    return found.select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), personal_data.span_text(F.col("spans")).alias("spans")
+    )
+
+
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(documents(spark, sf_dir), shingle_words=4, percent=80)
 
