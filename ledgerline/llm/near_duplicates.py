@@ -13,9 +13,9 @@
 
 A bucket is not expanded into all its pairs. In a few rounds each bucket has a
 leader, and every member is confirmed against the leader that it seems most
-similar to; most members get their component from that. Afterwards only pairs
-of one bucket that still have different components are compared, so no link
-between components is lost.
+similar to; most members get their component from that. Afterwards only members
+of one bucket that still have different components are compared, small buckets by
+pairs, large ones in blocks of bounded size, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ ROWS = 4  # minima per band: 32 bands; a pair at 0.8 shares none with probabilit
 BITS = 2  # kept of each minimum
 LANES = 64 // BITS
 PACKED = HASHES // LANES
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+LARGE_BUCKET = 64  # members from which a bucket is compared in blocks
+BLOCK = 256  # members in a block
 
 _random = np.random.Generator(np.random.PCG64(771))
 _FACTORS = _random.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -161,6 +164,57 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    sets = [*left, *right]
+    sizes = [len(s) for s in sets]
+    values, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = seen > 1
+    place = np.cumsum(several) - 1
+    row = np.repeat(np.arange(len(sets)), sizes)[several[column]]
+    column = place[column[several[column]]]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    step = 4096
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(several.sum()), step):
+        a, b = np.searchsorted(column, [first, first + step])
+        table = np.zeros((len(sets), step), dtype=np.float32)
+        table[row[a:b], column[a:b] - first] = 1
+        out += table[: len(left)] @ table[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _block_links(percent: int):
+    """Links between components within two blocks of a bucket, enough to join them."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        p, q = int(frame.p.iloc[0]), int(frame.q.iloc[0])
+        left = frame[frame.own == p]
+        right = left if p == q else frame[frame.own == q]
+        root: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        out: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            a, b = list(left.shingles), list(right.shingles)
+            shared = _shared_counts(a, b)
+            total = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :] - shared
+            apart = left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
+            for i, j in zip(*np.nonzero(apart & (100 * shared >= percent * total)), strict=True):
+                low, high = top(int(left.component.iloc[i])), top(int(right.component.iloc[j]))
+                if low != high:
+                    root[max(low, high)] = min(low, high)
+                    out.append((int(left.rep.iloc[i]), int(right.rep.iloc[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     *,
@@ -210,10 +264,10 @@ def near_duplicate_groups(
     lowest = lowest_estimate(percent / 100)
     sets = None
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Components over the pairs (a, b) that the full sets confirm."""
+    def full_sets(ids: DataFrame) -> DataFrame:
+        """Shingle sets that cover the given ids (a column ``doc_id``)."""
         nonlocal sets
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        wanted = ids.distinct()
         if sets is not None:
             wanted = wanted.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
         texts = source.join(freeze(wanted, "wanted").hint("merge"), "doc_id", "left_semi")
@@ -222,8 +276,11 @@ def near_duplicate_groups(
             "full-sets",
         )
         sets = more if sets is None else sets.unionByName(more)
-        ends = _confirmed(pairs, sets, percent)
-        near = ends.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
+        return sets
+
+    def merged(links: DataFrame) -> DataFrame:
+        """Labels after joining the components of linked representatives (a, b)."""
+        near = links.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
         over = freeze(connected_components(near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "groups")
         return freeze(
             labels.join(over.toDF("component", "_over"), "component", "left").select(
@@ -232,17 +289,22 @@ def near_duplicate_groups(
             "labels",
         )
 
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        return _confirmed(pairs, full_sets(ends), percent)
+
     def undecided(rows: DataFrame) -> DataFrame:
         """Members of buckets that still hold more than one component."""
         placed = freeze(rows.drop("component").join(labels, "rep"), "placed")
         mixed = freeze(
-            placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-            .where("_low < _high").select("key"),
+            placed.groupBy("key")
+            .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("members"))
+            .where("_low < _high").select("key", "members"),
             "mixed-buckets",
         )
-        return freeze(placed.join(mixed, "key", "left_semi"), "undecided")
+        return freeze(placed.drop("members").join(mixed, "key"), "undecided")
 
-    open_ = members.withColumn("component", F.col("rep"))
+    open_ = members.select("*", F.col("rep").alias("component"), F.lit(0).cast("bigint").alias("members"))
     for turn in range(LEADER_ROUNDS):
         # Another leader in each bucket and round: a member meets up to one per band.
         chosen = F.min_by(F.struct("rep", "component", "signature"), F.xxhash64("rep", "key", F.lit(turn)))
@@ -254,11 +316,16 @@ def near_duplicate_groups(
             .where(F.col("_estimate") >= lowest)
         )
         best = met.groupBy("b").agg(F.max(F.struct("_estimate", F.col("a"))).alias("_best"))
-        labels = linked(freeze(best.select(F.col("_best.a").alias("a"), "b"), "pairs"))
+        pairs = freeze(best.select(F.col("_best.a").alias("a"), "b"), "pairs")
+        if not pairs.limit(1).count():
+            break
+        labels = merged(confirmed(pairs))
         open_ = undecided(open_)
 
-    # What is left: pairs within a bucket that the leaders did not bring together.
-    x, y = open_.alias("x"), open_.alias("y")
+    # What is left: pairs within a bucket that the leaders did not bring together. In
+    # small buckets, at most LARGE_BUCKET for each member:
+    small = open_.where(F.col("members") <= LARGE_BUCKET)
+    x, y = small.alias("x"), small.alias("y")
     rest = freeze(
         x.join(
             y,
@@ -270,8 +337,20 @@ def near_duplicate_groups(
         .distinct(),
         "pairs",
     )
-    if rest.limit(1).count():
-        labels = linked(rest)
+    # In large buckets block by block, on the full sets and without emitting pairs:
+    large = freeze(open_.where(F.col("members") > LARGE_BUCKET).select("key", "rep", "component", "members"), "large")
+    links = confirmed(rest) if rest.limit(1).count() else None
+    if large.limit(1).count():
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+        dealt = large.select(
+            "key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+        ).select("key", "rep", "component", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+        blocked = dealt.join(full_sets(large.select(F.col("rep").alias("doc_id"))), "rep")
+        found = blocked.groupBy("key", "p", "q").applyInPandas(_block_links(percent), "a bigint, b bigint")
+        links = found if links is None else links.unionByName(found)
+    if links is not None:
+        labels = merged(freeze(links, "links"))
 
     named = freeze(
         classes.join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("_component")),
