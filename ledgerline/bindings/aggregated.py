@@ -33,7 +33,7 @@ ORDER_CENTS = cents_sql("o_totalprice")
     f"SELECT CAST(sum({ORDER_CENTS}) AS DOUBLE) / count(*) / 100.0 AS avg_sales FROM orders",
 )
 def agg_global_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.mean_of(table(spark, sf_dir, "orders"), "o_totalprice", "avg_sales")
+    return aggregates.mean_of(table(spark, sf_dir, "orders"), "o_totalprice", "avg_sales", 2)
 
 
 @query("agg_global_max", "SELECT max(l_discount) AS highest_discount FROM lineitem")
@@ -84,14 +84,25 @@ def distinct_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def agg_overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.overall_statistics(
-        table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_quantity"
-    )
+    price, quantity = "l_extendedprice", "l_quantity"
+    measures = {
+        "total_rows": ("rows", None),
+        "total_amount": ("total", price, 2),
+        "avg_amount": ("mean", price, 2),
+        "stddev_amount": ("stddev", price, 2),
+        "min_amount": ("min", price, 2),
+        "max_amount": ("max", price, 2),
+        "non_null_amounts": ("count", price),
+        "min_other": ("min", quantity),
+        "max_other": ("max", quantity),
+        "avg_other": ("mean", quantity, 1),
+    }
+    return aggregates.statistics(table(spark, sf_dir, "lineitem"), measures, scales={price: 2, quantity: 2})
 
 
 def _orders_by_place(spark: SparkSession, sf_dir: str, group_by: Sequence[str]) -> DataFrame:
     """Order value and count per buyer attribute, reduced to one row per buyer first."""
-    measures = {"total_units": ("sum", units("o_totalprice")), "n": ("count", None)}
+    measures = {"total_units": ("total", units("o_totalprice", 2)), "n": ("count", None)}
     return aggregate_then_join(
         table(spark, sf_dir, "orders"),
         buyers(spark, sf_dir),
@@ -118,7 +129,7 @@ def sum_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         "o_orderkey",
         ["o_custkey"],
-        {"sales_units": ("sum", units("l_extendedprice"))},
+        {"sales_units": ("total", units("l_extendedprice", 2))},
     )
     per_region = aggregate_then_join(
         per_customer,
@@ -128,7 +139,7 @@ def sum_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["r_name"],
         {"sales_units": ("sum", "sales_units")},
     )
-    return per_region.select("r_name", from_units("sales_units").alias("total_sales"))
+    return per_region.select("r_name", from_units("sales_units", 2).alias("total_sales"))
 
 
 QUANTITY_SQL = "CAST(sum(l_quantity) AS BIGINT)"
@@ -141,8 +152,27 @@ def _quantity_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "p_partkey",
         ["p_brand"],
-        {"total_quantity": ("sum", F.col("l_quantity").cast("bigint"))},
-    )
+        {"total_quantity": ("total", units("l_quantity", 0))},
+    ).withColumn("total_quantity", F.col("total_quantity").cast("bigint"))
+
+
+@query(
+    "sum_by_fine_amounts",
+    f"""
+    SELECT l_returnflag, l_linestatus,
+        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT))) AS DOUBLE)
+            / 10000.0 AS net_exact,
+        round(sum(l_extendedprice * (1 - l_discount)), 2) AS net_rounded
+    FROM lineitem GROUP BY ALL
+    """,
+)
+def sum_by_fine_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same total with four stated digits, and with none stated and a rounded result."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = table(spark, sf_dir, "lineitem").withColumns({"net": F.round(net, 6), "free": net})
+    keys = ["l_returnflag", "l_linestatus"]
+    measures = {"net_exact": ("total", "net"), "net_rounded": ("total", "free", 2)}
+    return aggregates.statistics(lines, measures, keys, scales={"net": 4})
 
 
 @query(
@@ -272,8 +302,8 @@ def top10_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "p_partkey",
         ["p_name"],
-        {"sales_units": ("sum", units("l_extendedprice"))},
-    ).select("p_name", from_units("sales_units").alias("total_sales"))
+        {"sales_units": ("total", units("l_extendedprice", 2))},
+    ).select("p_name", from_units("sales_units", 2).alias("total_sales"))
     return top_k(totals, 10, [descending("total_sales"), ascending("p_name")])
 
 
@@ -289,7 +319,7 @@ def top5_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = _orders_by_place(spark, sf_dir, ["n_name"]).select(
         "n_name",
         F.col("n").alias("transactions"),
-        from_units("total_units").alias("total_revenue"),
+        from_units("total_units", 2).alias("total_revenue"),
     )
     return top_k(totals, 5, [descending("total_revenue"), ascending("n_name")])
 
@@ -316,7 +346,7 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["p_type"],
         {
             "transactions": ("count", None),
-            "units": ("sum", units("l_extendedprice")),
+            "units": ("total", units("l_extendedprice", 2)),
             "min_price": ("min", "l_extendedprice"),
             "max_price": ("max", "l_extendedprice"),
         },
@@ -324,8 +354,8 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = merged.select(
         "p_type",
         "transactions",
-        from_units("units").alias("total_revenue"),
-        F.round(from_units(F.col("units") / F.col("transactions")), 2).alias("avg_order_value"),
+        from_units("units", 2).alias("total_revenue"),
+        F.round(from_units(F.col("units").cast("double") / F.col("transactions"), 2), 2).alias("avg_order_value"),
         "min_price",
         "max_price",
     )
@@ -345,8 +375,8 @@ def _summary(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     return merged.select(
         *keys,
         F.col("n").alias("transactions"),
-        from_units("total_units").alias("total_revenue"),
-        F.round(from_units(F.col("total_units") / F.col("n")), 2).alias("avg_order_value"),
+        from_units("total_units", 2).alias("total_revenue"),
+        F.round(from_units(F.col("total_units").cast("double") / F.col("n"), 2), 2).alias("avg_order_value"),
     )
 
 
@@ -367,7 +397,7 @@ def revenue_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("revenue_by_priority", _summary_sql("o_orderpriority", "orders"))
 def revenue_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = aggregates.amount_summary_by(
-        table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice"
+        table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice", scale=2
     )
     return ordered(summary, [descending("total_revenue")])
 
@@ -422,9 +452,14 @@ def having_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def department_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     staff = add_raised(table(spark, sf_dir, "customer"), "total_comp", "c_acctbal", "0.10")
-    stats = aggregates.department_statistics(
-        staff, "c_mktsegment", "c_custkey", "c_acctbal", "total_comp"
-    )
+    measures = {
+        "total_compensation": ("total", "total_comp", 2),
+        "avg_salary": ("mean", "c_acctbal", 2),
+        "min_salary": ("min", "c_acctbal"),
+        "max_salary": ("max", "c_acctbal"),
+        "headcount": ("count", "c_custkey"),
+    }
+    stats = aggregates.statistics(staff, measures, ["c_mktsegment"], scales={"total_comp": 2, "c_acctbal": 2})
     return ordered(stats, [descending("avg_salary")])
 
 
@@ -457,7 +492,7 @@ def max_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def avg_of_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.mean_of_totals(
-        table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", "avg_total"
+        table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", "avg_total", 2
     )
 
 
@@ -493,5 +528,5 @@ def join_then_group(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey",
         "c_custkey",
         ["c_custkey", "c_name"],
-        {"n_orders": ("count", None), "total_units": ("sum", units("o_totalprice"))},
-    ).select("c_custkey", "c_name", "n_orders", from_units("total_units").alias("total_sales"))
+        {"n_orders": ("count", None), "total_units": ("total", units("o_totalprice", 2))},
+    ).select("c_custkey", "c_name", "n_orders", from_units("total_units", 2).alias("total_sales"))

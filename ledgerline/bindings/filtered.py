@@ -94,6 +94,30 @@ def filter_between_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "filter_between_date_text",
+    """
+    WITH texts AS (
+        SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'unknown' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso_date,
+            month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) AS us_date
+        FROM orders
+    )
+    SELECT * FROM texts
+    WHERE CAST(try_strptime(us_date, '%m/%d/%Y') AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+        AND CAST(try_strptime(iso_date, '%Y-%m-%d') AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1997-12-31'
+    """,
+)
+def filter_between_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.col("o_orderdate")
+    texts = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", "unknown").otherwise(F.date_format(day, "yyyy-MM-dd")).alias("iso_date"),
+        F.concat_ws("/", F.month(day), F.dayofmonth(day), F.year(day)).alias("us_date"),
+    )
+    in_1996 = filters.where_date_between(texts, "us_date", date(1996, 1, 1), date(1996, 12, 31), pattern="M/d/yyyy")
+    return filters.where_date_between(in_1996, "iso_date", date(1996, 3, 1), date(1997, 12, 31))
+
+
 @query(
     "filter_and",
     """
@@ -175,7 +199,7 @@ def cte_above_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rich = subqueries.above_average(totals, "total_units")
     named = join_dimension(rich, table(spark, sf_dir, "customer"), "o_custkey", "c_custkey")
     return ordering.ordered(
-        named.select("c_custkey", "c_name", from_units("total_units").alias("total_sales")),
+        named.select("c_custkey", "c_name", from_units("total_units", 2).alias("total_sales")),
         [ordering.descending("total_sales"), "c_custkey"],
     )
 
@@ -193,6 +217,6 @@ def join_cte_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer_totals(spark, sf_dir), table(spark, sf_dir, "customer"), "o_custkey", "c_custkey"
     )
     return ordering.ordered(
-        named.select("c_custkey", "c_name", from_units("total_units").alias("total_sales")),
+        named.select("c_custkey", "c_name", from_units("total_units", 2).alias("total_sales")),
         [ordering.descending("total_sales"), "c_custkey"],
     )

@@ -110,11 +110,11 @@ def repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders, ["o_orderpriority"], 2 * spark.sparkContext.defaultParallelism, spread
     )
     usage = layout.partition_usage(
-        dealt, ["o_orderpriority"], {"total_units": units("o_totalprice")}
+        dealt, ["o_orderpriority"], {"total_units": units("o_totalprice", 2)}
     )
     return usage.select(
         "o_orderpriority",
         "n_rows",
         (F.col("n_partitions") <= spread).alias("within_spread"),
-        from_units("total_units").alias("total_sales"),
+        from_units("total_units", 2).alias("total_sales"),
     )

@@ -29,7 +29,7 @@ def _named_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_total(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
-        "c_custkey", "c_name", from_units("total_units").alias("total_sales"), *others
+        "c_custkey", "c_name", from_units("total_units", 2).alias("total_sales"), *others
     )
 
 
@@ -48,7 +48,7 @@ def rank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey",
         "c_custkey",
         ["c_custkey", "c_name"],
-        {"total_units": ("sum", units("o_totalprice"))},
+        {"total_units": ("total", units("o_totalprice", 2))},
     )
     ranked = rank_rows(freeze(totals), [descending("total_units")], name="sales_rank")
     return ordered(_with_total(ranked, "sales_rank"), [ascending("sales_rank"), "c_custkey"])

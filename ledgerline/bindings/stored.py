@@ -34,7 +34,9 @@ def scan_csv_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     path = fresh_path(spark, "orders-gzip")
     sources.write_csv(orders, path, compression="gzip")
-    return sources.read_csv(spark, path, orders.schema)
+    # A gzip file is read by one task, so its rows are dealt out again.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sources.read_csv(spark, path, orders.schema, spread=width)
 
 
 @query("scan_csv_latin1", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -167,10 +169,10 @@ def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_csv_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = aggregates.amount_summary_by(
-        table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice", mean_name=None
+        table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice", mean_name=None, scale=2
     )
     path = fresh_path(spark, "priorities-csv")
-    sources.write_csv(summary, path, single_file=True)
+    sources.write_csv(summary, path, files=1)
     return sources.read_csv(spark, path, summary.schema)
 
 
@@ -194,7 +196,7 @@ def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def parquet_schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = customer_totals(spark, sf_dir).select(
-        "o_custkey", "n_orders", from_units("total_units").alias("total_price")
+        "o_custkey", "n_orders", from_units("total_units", 2).alias("total_price")
     )
     path = fresh_path(spark, "totals-parquet")
     sources.write_parquet(totals, path)
@@ -204,33 +206,54 @@ def parquet_schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("*", n_rows.alias("n_rows"), F.lit(same).alias("same_schema"))
 
 
-def _copied_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str]:
-    orders = table(spark, sf_dir, "orders")
+COPIED = ["doc_id", "text", "lang", "source", "n_chars"]
+
+# Line breaks and quotes come with the texts; empty, absent and unfitting cells are put in.
+COPIED_SQL = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, CASE WHEN lang = 'fr' THEN '' ELSE lang END AS lang,
+    CASE WHEN lang = 'de' THEN NULL ELSE source END AS source,
+    CASE WHEN lang = 'es' THEN '1,200 or so' ELSE CAST(n_chars AS VARCHAR) END AS n_chars
+FROM documents"""
+
+
+def _copied_documents(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    lang = F.col("lang")
+    cells = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string"),
+        "text",
+        F.when(lang == "fr", "").otherwise(lang).alias("lang"),
+        F.when(lang != "de", F.col("source")).alias("source"),
+        F.when(lang == "es", "1,200 or so").otherwise(F.col("n_chars").cast("string")).alias("n_chars"),
+    )
     source, target = fresh_path(spark, "copy-source"), fresh_path(spark, "copy-target")
-    sources.write_csv(orders, source)
-    sources.copy_csv(spark, source, target, orders.schema)
-    return orders, source, target
+    sources.write_csv(cells, source)
+    sources.copy_csv(spark, source, target, COPIED, multi_line=True)
+    return source, target
 
 
-@query("copy_dataset", ORDERS_SQL)
+@query("copy_dataset", COPIED_SQL)
 def copy_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, _, target = _copied_orders(spark, sf_dir)
-    return sources.read_csv(spark, target, orders.schema)
+    _, target = _copied_documents(spark, sf_dir)
+    return sources.read_text_cells(spark, target, COPIED, multi_line=True)
 
 
 @query(
     "copy_verify",
     """
-    SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS rows_that_differ
-    FROM orders
+    SELECT 'copy' AS target, count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS rows_that_differ
+    FROM documents
+    UNION ALL SELECT 'altered', count(*), count(*), CAST(2 AS BIGINT) FROM documents
     """,
 )
 def copy_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, source, target = _copied_orders(spark, sf_dir)
-    return sources.verify_copy(
-        sources.read_csv(spark, source, orders.schema),
-        sources.read_csv(spark, target, orders.schema),
-    )
+    source, target = _copied_documents(spark, sf_dir)
+    before = sources.read_text_cells(spark, source, COPIED, multi_line=True)
+    after = sources.read_text_cells(spark, target, COPIED, multi_line=True)
+    # One cell of one row: the row is missing on one side and new on the other.
+    altered = after.withColumn("source", F.when(F.col("doc_id") == "0", "elsewhere").otherwise(F.col("source")))
+    checks = {"copy": after, "altered": altered}
+    found = [sources.verify_copy(before, side).withColumn("target", F.lit(name)) for name, side in checks.items()]
+    return found[0].unionByName(found[1])
 
 
 @query(
@@ -271,9 +294,9 @@ def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("recreate_table", "SELECT * FROM customer")
 def recreate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    name = "ledger_customer_loaded"
-    for _ in range(2):
-        sources.replace_table(customer, name, fresh_path(spark, "customer-loaded"))
+    name, path = "ledger_customer_loaded", fresh_path(spark, "customer-loaded")
+    for rows in (customer.where("c_acctbal < 0").withColumn("c_name", F.lit("old")), customer):
+        sources.replace_table(rows, name, path)
     return sources.read_table(spark, name)
 
 

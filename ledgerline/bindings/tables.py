@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import units
+from ledgerline.functions import exact_total, units
 from ledgerline.operators.joins import aggregate_then_join, join_dimension
 from ledgerline.sources import read_parquet
 
@@ -97,8 +97,8 @@ PROFIT_SQL = """
 
 
 def profit_units() -> Column:
-    paid = units("l_extendedprice") * (F.lit(100) - units("l_discount"))
-    return paid - F.lit(200) * F.col("l_quantity").cast("bigint") * units("p_retailprice")
+    paid = units("l_extendedprice", 2) * (F.lit(100) - units("l_discount", 2))
+    return paid - F.lit(200) * units("l_quantity", 0) * units("p_retailprice", 2)
 
 
 def profit_by_part(spark: SparkSession, sf_dir: str, *attributes: str) -> DataFrame:
@@ -107,18 +107,18 @@ def profit_by_part(spark: SparkSession, sf_dir: str, *attributes: str) -> DataFr
     Line items are reduced to one row per part before the part table is joined:
     the list price is constant within a part and can be applied to the totals.
     """
-    paid = units("l_extendedprice") * (F.lit(100) - units("l_discount"))
+    paid = units("l_extendedprice", 2) * (F.lit(100) - units("l_discount", 2))
     per_part = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey")
         .agg(
-            F.sum(paid).alias("paid_units"),
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+            exact_total(paid).alias("paid_units"),
+            exact_total(units("l_quantity", 0)).alias("quantity"),
             F.count("*").alias("n_lines"),
         )
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", *attributes)
-    cost = F.lit(200) * F.col("quantity") * units("p_retailprice")
+    cost = F.lit(200) * F.col("quantity") * units("p_retailprice", 2)
     return join_dimension(per_part, part, "l_partkey", "p_partkey").select(
         "p_partkey",
         *attributes,
@@ -132,7 +132,7 @@ def profit_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profit units per order key."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     lines = join_dimension(table(spark, sf_dir, "lineitem"), part, "l_partkey", "p_partkey")
-    return lines.groupBy("l_orderkey").agg(F.sum(profit_units()).alias("profit_units"))
+    return lines.groupBy("l_orderkey").agg(exact_total(profit_units()).alias("profit_units"))
 
 
 def profit_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +151,7 @@ def customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
-        .agg(F.sum(units("o_totalprice")).alias("total_units"), F.count("*").alias("n_orders"))
+        .agg(exact_total(units("o_totalprice", 2)).alias("total_units"), F.count("*").alias("n_orders"))
     )
 
 

@@ -166,6 +166,6 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             year_text("o_orderdate").alias("order_year"),
             month_text("o_orderdate").alias("order_month"),
         )
-        .agg(units_total("o_totalprice").alias("monthly_sales"))
+        .agg(units_total("o_totalprice", 2).alias("monthly_sales"))
         .orderBy("order_year", "order_month")
     )

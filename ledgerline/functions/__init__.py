@@ -1,6 +1,7 @@
 from ledgerline.functions.labels import banded, two_way_label, value_within
 from ledgerline.functions.money import (
     as_money,
+    exact_total,
     from_units,
     raised_by,
     share_of,
@@ -8,11 +9,13 @@ from ledgerline.functions.money import (
     units_mean,
     units_total,
 )
-from ledgerline.functions.times import month_text, parsed_date, year_number, year_text
+from ledgerline.functions.times import ISO_DATE, month_text, parsed_date, year_number, year_text
 
 __all__ = [
+    "ISO_DATE",
     "as_money",
     "banded",
+    "exact_total",
     "from_units",
     "month_text",
     "parsed_date",

@@ -1,15 +1,16 @@
 """Exact money arithmetic on columns that hold amounts as binary floats.
 
 Adding doubles gives a result that depends on the order in which shuffled
-blocks arrive. Amounts are therefore summed as whole minor units (cents for
-``scale=2``) in a ``bigint``: the result is exact, the same on every run and
-after every task retry, stays inside whole-stage code generation, and costs less
-than a wide decimal buffer. A sum that would leave the ``bigint`` range raises
-under ANSI mode; it never wraps.
-
-``scale`` states how many digits the stored amounts have. Amounts with no fixed
-number of digits take ``scale=None``: their totals and means are ordinary double
-aggregates.
+blocks arrive. Where the caller states how many digits the stored amounts have
+(``scale``), they are therefore summed as whole minor units: the result is exact and
+the same on every run and after every task retry. An amount that is not whole
+at the stated scale is an error, never rounded. Totals are kept in two halves,
+both ``bigint``, which stay inside whole-stage code generation and are put together
+as ``decimal(38,0)``; a half that would leave its range raises, with ANSI mode on or off.
+
+Without a scale (the default) totals and means are ordinary double aggregates.
+
+NaN counts as missing, like null, in units, totals and means.
 """
 
 from __future__ import annotations
@@ -20,39 +21,60 @@ from pyspark.sql.types import DecimalType
 
 ColumnOrName = Column | str
 
+_HALF = 20  # bits of the lower half: 2**43 rows of any amount fit its total
+_WIDE = DecimalType(38, 0)
+
 
 def _column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def units(value: ColumnOrName, scale: int = 2) -> Column:
+def _present(value: ColumnOrName) -> Column:
+    amount = _column(value).cast("double")
+    return F.when(~F.isnan(amount), amount)
+
+
+def units(value: ColumnOrName, scale: int) -> Column:
     """Amount with at most ``scale`` stored digits as a whole number of units.
 
-    Exact while the amount has at most 15 significant digits, as a double must.
+    Exact while the amount has at most 15 significant digits, as a double must. An
+    amount with more digits than ``scale`` raises.
     """
-    if scale == 0:
-        return _column(value).cast("bigint")
-    return F.rint(_column(value).cast("double") * F.lit(float(10**scale))).cast("bigint")
+    scaled = _present(value) * F.lit(float(10**scale))
+    whole = F.rint(scaled)
+    stored = F.abs(scaled - whole) <= F.greatest(F.lit(1e-6), F.abs(scaled) * F.lit(1e-14))
+    wrong = F.raise_error(F.concat(F.lit(f"not whole at {scale} digits: "), _column(value).cast("string")))
+    return F.when(scaled.isNull() | stored, whole.cast("bigint")).otherwise(wrong.cast("bigint"))
+
+
+def exact_total(whole: ColumnOrName) -> Column:
+    """Aggregate: total of a bigint column as ``decimal(38,0)``; null without values."""
+    number = _column(whole)
+    high = F.try_sum(F.shiftright(number, _HALF)).cast(_WIDE)
+    low = F.try_sum(number.bitwiseAND(F.lit(2**_HALF - 1).cast("bigint"))).cast(_WIDE)
+    total = (high * F.lit(2**_HALF).cast(DecimalType(7, 0)) + low).cast(_WIDE)
+    too_large = F.raise_error(F.lit("a total leaves its range")).cast(_WIDE)
+    return F.when(F.count(number) > 0, F.coalesce(total, too_large))
 
 
-def from_units(value: ColumnOrName, scale: int = 2) -> Column:
+def from_units(value: ColumnOrName, scale: int) -> Column:
     """Whole units back to a double amount."""
     return _column(value).cast("double") / F.lit(float(10**scale))
 
 
-def units_total(value: ColumnOrName, scale: int | None = 2) -> Column:
-    """Aggregate: total of an amount column as a double, exact at ``scale``."""
+def units_total(value: ColumnOrName, scale: int | None = None) -> Column:
+    """Aggregate: total of an amount column as a double, exact at a stated ``scale``."""
     if scale is None:
-        return F.sum(_column(value).cast("double"))
-    return from_units(F.sum(units(value, scale)), scale)
+        return F.sum(_present(value))
+    return from_units(exact_total(units(value, scale)), scale)
 
 
-def units_mean(value: ColumnOrName, scale: int | None = 2) -> Column:
-    """Aggregate: mean of an amount column, from its exact total at ``scale``."""
+def units_mean(value: ColumnOrName, scale: int | None = None) -> Column:
+    """Aggregate: mean of an amount column, from its exact total at a stated ``scale``."""
     if scale is None:
-        return F.avg(_column(value).cast("double"))
+        return F.avg(_present(value))
     whole = units(value, scale)
-    return F.sum(whole) / F.count(whole) / F.lit(float(10**scale))
+    return exact_total(whole).cast("double") / F.count(whole) / F.lit(float(10**scale))
 
 
 def as_money(value: ColumnOrName, precision: int = 20, scale: int = 6) -> Column:

@@ -1,9 +1,9 @@
 """Global and grouped statistics.
 
 Spark combines every aggregate here inside the map tasks, so a key that holds a
-large part of the table reaches the shuffle as one row per task. Amounts are
-totalled exactly; ``scale`` is the number of digits they are stored with, or None
-for amounts without a fixed number of digits (see ``functions.money``).
+large part of the table reaches the shuffle as one row per task. Where ``scale`` states
+how many digits amounts are stored with, their totals are exact; otherwise they are
+double aggregates (see ``functions.money``).
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import from_units, units, units_mean, units_total
+from ledgerline.functions import exact_total, from_units, units, units_mean, units_total
 
 
-def mean_of(df: DataFrame, value: str, name: str, scale: int | None = 2) -> DataFrame:
+def mean_of(df: DataFrame, value: str, name: str, scale: int | None = None) -> DataFrame:
     return df.agg(units_mean(value, scale).alias(name))
 
 
@@ -48,32 +48,46 @@ def distinct_count_by(df: DataFrame, keys: Sequence[str], value: str, name: str)
     return df.groupBy(*keys).agg(F.count_distinct(value).alias(name))
 
 
-def overall_statistics(
-    df: DataFrame, amount: str, other: str, scale: int | None = 2
+# What ``statistics`` can work out, by name, from a column and the scale of its amounts.
+_STATISTICS = {
+    "rows": lambda column, scale: F.count("*"),
+    "count": lambda column, scale: F.count(column),
+    "mean": units_mean,
+    "total": units_total,
+    "min": lambda column, scale: F.min(column),
+    "max": lambda column, scale: F.max(column),
+    "stddev": lambda column, scale: F.stddev(column),
+}
+
+
+def statistics(
+    df: DataFrame,
+    measures: Mapping[str, tuple],
+    keys: Sequence[str] = (),
+    *,
+    scales: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Ten statistics of two columns in one row and one pass."""
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        F.count(amount).alias("non_null_amounts"),
-        F.round(units_mean(amount, scale), 2).alias("avg_amount"),
-        F.round(F.min(amount), 2).alias("min_amount"),
-        F.round(F.max(amount), 2).alias("max_amount"),
-        F.round(units_total(amount, scale), 2).alias("total_amount"),
-        F.round(F.stddev(amount), 2).alias("stddev_amount"),
-        F.round(F.avg(other), 1).alias("avg_other"),
-        F.min(other).alias("min_other"),
-        F.max(other).alias("max_other"),
-    )
+    """Named statistics in one pass, per group or over the whole table.
+
+    ``measures`` maps an output name to (statistic, column) or (statistic, column,
+    digits), where digits rounds the result. ``scales`` states the stored digits
+    of amount columns.
+    """
+    columns = []
+    for name, (kind, column, *digits) in measures.items():
+        found = _STATISTICS[kind](column, (scales or {}).get(column))
+        columns.append((F.round(found, digits[0]) if digits else found).alias(name))
+    return df.groupBy(*keys).agg(*columns)
 
 
 def sum_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
 ) -> DataFrame:
     return df.groupBy(*keys).agg(units_total(value, scale).alias(name))
 
 
 def mean_by(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
 ) -> DataFrame:
     return df.groupBy(*keys).agg(units_mean(value, scale).alias(name))
 
@@ -91,7 +105,7 @@ def amount_summary_by(
     total_name: str = "total_revenue",
     mean_name: str | None = "avg_order_value",
     extremes: bool = False,
-    scale: int | None = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Rows, total, mean and (optionally) extremes of an amount per group."""
     measures = [
@@ -112,30 +126,12 @@ def groups_where(grouped: DataFrame, predicate: str) -> DataFrame:
 
 
 def mean_of_totals(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = 2
+    df: DataFrame, keys: Sequence[str], value: str, name: str, scale: int | None = None
 ) -> DataFrame:
     """Average of per-group totals."""
     if scale is None:
         totals = df.groupBy(*keys).agg(units_total(value, None).alias("total"))
         return totals.agg(F.round(F.avg("total"), 2).alias(name))
-    totals = df.groupBy(*keys).agg(F.sum(units(value, scale)).alias("total"))
-    # A total of very many totals may exceed a bigint; there is one row per group.
-    mean = F.sum(F.col("total").cast("decimal(38,0)")).cast("double") / F.count("total")
+    totals = df.groupBy(*keys).agg(exact_total(units(value, scale)).alias("total"))
+    mean = F.sum("total").cast("double") / F.count("total")
     return totals.agg(F.round(from_units(mean, scale), 2).alias(name))
-
-
-def department_statistics(
-    df: DataFrame,
-    department: str,
-    person: str,
-    salary: str,
-    compensation: str,
-    scale: int | None = 2,
-) -> DataFrame:
-    return df.groupBy(department).agg(
-        F.count(person).alias("headcount"),
-        F.round(units_mean(salary, scale), 2).alias("avg_salary"),
-        F.max(salary).alias("max_salary"),
-        F.min(salary).alias("min_salary"),
-        F.round(units_total(compensation, scale), 2).alias("total_compensation"),
-    )

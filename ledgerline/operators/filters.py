@@ -11,6 +11,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import ISO_DATE, parsed_date
+
 
 def where_equal(df: DataFrame, column: str, value: Any) -> DataFrame:
     return df.where(F.col(column) == F.lit(value))
@@ -29,12 +31,19 @@ def where_between(df: DataFrame, column: str, low: Any, high: Any) -> DataFrame:
     return df.where(F.col(column).between(low, high))
 
 
-def where_date_between(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
+def where_date_between(
+    df: DataFrame, column: str, first: date, last: date, *, pattern: str = ISO_DATE
+) -> DataFrame:
     """Rows of the days ``first`` to ``last``; the whole last day counts.
 
+    A text column is read by ``pattern`` and compared as dates; text that does not
+    match the pattern is no date and drops out.
+
     On a timestamp column the bounds stay plain comparisons with the column, so
     they are pushed into the scan.
     """
+    if df.schema[column].dataType.typeName() == "string":
+        return df.where(parsed_date(F.col(column), pattern).between(F.lit(first), F.lit(last)))
     start, end = F.lit(first), F.date_add(F.lit(last), 1)
     if df.schema[column].dataType.typeName() == "date":
         return df.where((F.col(column) >= start) & (F.col(column) <= F.lit(last)))

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import exact_total
+
 
 def join_dimension(
     fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str
@@ -20,6 +22,7 @@ def join_dimension(
 
 
 _SOURCE = {
+    "total": lambda column: exact_total(column),
     "sum": lambda column: F.sum(column),
     "min": lambda column: F.min(column),
     "max": lambda column: F.max(column),
@@ -45,8 +48,8 @@ def aggregate_then_join(
 ) -> DataFrame:
     """``fact JOIN dimension GROUP BY group_by``, aggregated before the join.
 
-    ``measures`` maps an output name to (``sum``/``min``/``max``/``count``,
-    fact column). The fact is reduced to one row per join key inside the map
+    ``measures`` maps an output name to (``total``/``sum``/``min``/``max``/``count``,
+    fact column); a ``total`` of bigint units is a ``decimal(38,0)`` that cannot overflow. The fact is reduced to one row per join key inside the map
     tasks, so the join moves as many rows as there are keys, and a key with a
     third of all fact rows joins as a single row.
     """

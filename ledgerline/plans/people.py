@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from ledgerline.operators import cleaning, filters, shaping, transforms
-from ledgerline.operators.aggregates import department_statistics
+from ledgerline.operators.aggregates import statistics
 from ledgerline.operators.ordering import descending, ordered
 from ledgerline.operators.ranking import rank_rows
 from ledgerline.sources import read_parquet, write_csv, write_parquet
 from ledgerline.workspace import freeze
 
+# Fixed layout of the input.
 EMPLOYEES = StructType(
     [
         StructField("emp_id", LongType()),
@@ -59,7 +60,15 @@ def with_pay_columns(cleaned: DataFrame) -> DataFrame:
 
 
 def department_report(staff: DataFrame) -> DataFrame:
-    stats = department_statistics(staff, "department", "emp_id", "salary", "total_comp")
+    # Salaries are single-precision, so they have no stated number of digits.
+    measures = {
+        "headcount": ("count", "emp_id"),
+        "avg_salary": ("mean", "salary", 2),
+        "max_salary": ("max", "salary"),
+        "min_salary": ("min", "salary"),
+        "total_compensation": ("total", "total_comp", 2),
+    }
+    stats = statistics(staff, measures, ["department"], scales={"total_comp": 2})
     return ordered(stats, [descending("avg_salary")])
 
 
@@ -77,7 +86,7 @@ def save_staff(staff: DataFrame, report: DataFrame, target: str) -> DataFrame:
     """Write staff as CSV and Parquet and the report as CSV; read the Parquet back."""
     write_csv(staff, f"{target}/employees_csv")
     write_parquet(staff, f"{target}/employees_parquet")
-    write_csv(report, f"{target}/department_csv", single_file=True)
+    write_csv(report, f"{target}/department_csv", files=1)
     back = read_parquet(staff.sparkSession, f"{target}/employees_parquet")
     if back.dtypes != staff.dtypes:
         raise ValueError(f"columns changed on the way: {staff.dtypes} to {back.dtypes}")

@@ -15,7 +15,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from ledgerline.functions import from_units, units
+from ledgerline.functions import exact_total, from_units, units
 from ledgerline.operators import cleaning, transforms
 from ledgerline.operators.ordering import ascending, descending, ordered, top_k
 from ledgerline.sources import read_csv, write_csv
@@ -108,7 +108,7 @@ def revenue_reports(cleaned: DataFrame) -> RevenueReports:
     """
     summary = freeze(
         cleaned.groupBy("product_category", "region", "city").agg(
-            F.count("*").alias("n"), F.sum(units("price")).alias("price_units")
+            F.count("*").alias("n"), exact_total(units("price", 2)).alias("price_units")
         )
     )
     by_category = _report(summary, "product_category")
@@ -125,14 +125,14 @@ def _report(summary: DataFrame, key: str) -> DataFrame:
     transactions, revenue = F.sum("n"), F.sum("price_units")
     return summary.groupBy(key).agg(
         transactions.alias("transactions"),
-        F.round(from_units(revenue), 2).alias("total_revenue"),
-        F.round(from_units(revenue / transactions), 2).alias("avg_order_value"),
+        F.round(from_units(revenue, 2), 2).alias("total_revenue"),
+        F.round(from_units(revenue.cast("double") / transactions, 2), 2).alias("avg_order_value"),
     )
 
 
 def run_revenue_job(spark: SparkSession, source: str, target: str) -> RevenueReports:
     """Load, clean, report, and write the category and region reports below ``target``."""
     reports = revenue_reports(clean_transactions(load_transactions(spark, source)))
-    write_csv(reports.by_category, f"{target}/revenue_by_category", single_file=True)
-    write_csv(reports.by_region, f"{target}/revenue_by_region", single_file=True)
+    write_csv(reports.by_category, f"{target}/revenue_by_category", files=1)
+    write_csv(reports.by_region, f"{target}/revenue_by_region", files=1)
     return reports

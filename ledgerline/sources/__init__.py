@@ -11,6 +11,7 @@ from ledgerline.sources.readers import read_csv, read_parquet
 from ledgerline.sources.transfer import (
     copy_csv,
     file_metadata,
+    read_text_cells,
     row_differences,
     verify_copy,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "read_csv",
     "read_parquet",
     "read_table",
+    "read_text_cells",
     "register_view",
     "replace_table",
     "row_differences",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -10,6 +11,9 @@ from pyspark.sql.types import StructType
 
 _QUOTED_IDENTIFIERS = "spark.sql.ansi.doubleQuotedIdentifiers"
 
+# One session has one set of view names and settings.
+_session_state = threading.RLock()
+
 # strftime('%Y', d) and strftime('%m', d) as a SQL function, for dates kept as text
 # as well as for date columns; other text gives null. Its body becomes part of the
 # plan, so it stays in the JVM.
@@ -35,20 +39,33 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def run_query(
     spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """SQL text to a DataFrame; ``tables`` are registered as views first.
+    """SQL text to a DataFrame; ``tables`` are its views, for this call only.
+
+    Views of the same names come back afterwards. Calls from several threads take turns.
 
     Double quotes delimit identifiers, as in standard SQL, so names with spaces
     or hyphens can be written ``"Order Date"``. ``strftime`` is available.
     """
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    spark.sql(_STRFTIME)
-    before = spark.conf.get(_QUOTED_IDENTIFIERS)
-    spark.conf.set(_QUOTED_IDENTIFIERS, "true")
-    try:
-        return spark.sql(text.strip().rstrip(";"))
-    finally:
-        spark.conf.set(_QUOTED_IDENTIFIERS, before)
+    with _session_state:
+        catalog = spark.catalog
+        replaced = {name: spark.table(name) for name in tables or {} if name in _views(spark)}
+        spark.sql(_STRFTIME)
+        before = spark.conf.get(_QUOTED_IDENTIFIERS)
+        spark.conf.set(_QUOTED_IDENTIFIERS, "true")
+        try:
+            for name, df in (tables or {}).items():
+                df.createOrReplaceTempView(name)
+            return spark.sql(text.strip().rstrip(";"))  # resolved here; the views are not needed any more
+        finally:
+            spark.conf.set(_QUOTED_IDENTIFIERS, before)
+            for name in tables or {}:
+                catalog.dropTempView(name)
+            for name, df in replaced.items():
+                df.createOrReplaceTempView(name)
+
+
+def _views(spark: SparkSession) -> set[str]:
+    return {t.name for t in spark.catalog.listTables() if t.isTemporary}
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
@@ -66,20 +83,28 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType
 
 
 def declare_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
-    """Drop the table if it exists and create it empty with the given columns."""
+    """Drop the table if it exists and create it empty with the given columns.
+
+    Dropping a table at a location leaves its files, which the next table there
+    would pick up; so the location is emptied by overwriting it with no rows.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
 
 
-def insert_rows(df: DataFrame, name: str) -> DataFrame:
-    """Append ``df`` to a declared table, matching columns by name."""
+def insert_rows(df: DataFrame, name: str, *, overwrite: bool = False) -> DataFrame:
+    """Append ``df`` to a declared table, or replace its rows; columns match by name."""
     columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.insertInto(name)
+    df.select(*columns).write.insertInto(name, overwrite=overwrite)
     return df.sparkSession.table(name)
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Drop, create and load a table in one step."""
+    """Drop, create and load a table in one step; running it again changes nothing.
+
+    ``df`` must not read from ``path``.
+    """
     declare_table(df.sparkSession, name, df.schema, path)
-    return insert_rows(df, name)
+    return insert_rows(df, name, overwrite=True)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerline.sources.readers import read_csv
 from ledgerline.sources.writers import write_csv
 
 
+# Stands for a quoted empty cell while a file is read (two private-use characters).
+_EMPTY = "\ue000\ue001"
+
+
 def file_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Name, size and modification time of every file below ``path``.
 
@@ -23,14 +28,45 @@ def file_metadata(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def copy_csv(spark: SparkSession, source: str, target: str, schema: StructType) -> None:
-    """Copy a CSV dataset after checking that the source holds any bytes."""
+def read_text_cells(
+    spark: SparkSession, path: str, columns: Sequence[str], *, encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
+    """CSV cells as the text they hold; an absent cell is null, a quoted empty one is not."""
+    schema = StructType([StructField(name, StringType()) for name in columns])
+    cells = (
+        spark.read.option("header", True)
+        .option("encoding", encoding)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+        .option("emptyValue", _EMPTY)
+        .schema(schema)
+        .csv(path)
+    )
+    return cells.select(*[F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)).alias(c) for c in columns])
+
+
+def copy_csv(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    columns: Sequence[str],
+    *,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> None:
+    """Copy a CSV dataset after checking that the source holds any bytes.
+
+    Cells are copied as text, so one that would not fit a type is kept as it is.
+    ``multi_line`` accepts line breaks inside quoted cells. A cell of the copy
+    that holds empty text is quoted, so it stays apart from absent ones.
+    """
     found = file_metadata(spark, source).agg(
         F.count("*").alias("files"), F.sum("file_size").alias("size")
     ).first()
     if not found["files"] or not found["size"]:
         raise ValueError(f"nothing to copy in {source}")
-    write_csv(read_csv(spark, source, schema), target)
+    cells = read_text_cells(spark, source, columns, encoding=encoding, multi_line=multi_line)
+    write_csv(cells, target, encoding=encoding)
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -7,35 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.readwriter import DataFrameWriter
 
-from ledgerline.workspace import freeze
 
-# A single output file is written by a single task, so only results of at most
-# this many rows get one.
-SINGLE_FILE_ROWS = 1_000_000
+def _in_files(df: DataFrame, files: int | None) -> DataFrame:
+    """Merge into at most ``files`` partitions, keeping the order of a sorted result.
 
-
-def _gathered(df: DataFrame, max_rows: int) -> DataFrame:
-    """One partition when the result is small, unchanged when it is not.
-
-    The result is computed once and counted from its stored form. Exchanging it
-    keeps the upstream stages parallel, which merging partitions would not.
+    Merged partitions keep their order and are read one after the other, unlike
+    exchanged ones, whose blocks come as they arrive.
     """
-    stored = freeze(df)
-    return stored.repartition(1) if stored.count() <= max_rows else stored
+    return df if files is None else df.coalesce(files)
 
 
 def write_csv(
     df: DataFrame,
     path: str,
     *,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    files: int | None = None,
     compression: str | None = None,
     encoding: str = "UTF-8",
     quote_all: bool = False,
 ) -> None:
-    """CSV with a header row. Cell padding is kept; nulls are empty cells."""
-    out = _gathered(df, single_file_rows) if single_file else df
+    """CSV with a header row. Cell padding is kept; nulls are empty cells.
+
+    ``files=1`` gives one file, whatever the number of rows: one task then writes
+    all of them, so it is meant for grouped reports. Row tables leave it out.
+    """
+    out = _in_files(df, files)
     writer = (
         out.write.mode("overwrite")
         .option("header", True)
@@ -54,11 +50,10 @@ def write_parquet(
     df: DataFrame,
     path: str,
     *,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    files: int | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
-    out = _gathered(df, single_file_rows) if single_file else df
+    out = _in_files(df, files)
     writer: DataFrameWriter = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

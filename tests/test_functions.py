@@ -11,29 +11,45 @@ def test_totals_do_not_depend_on_row_order(spark):
     amounts = [(0.1,), (0.2,), (0.3,), (104949.99,), (-0.01,)] * 200
     forward = spark.createDataFrame(amounts, "x double").repartition(3)
     backward = spark.createDataFrame(amounts[::-1], "x double").coalesce(1)
-    totals = {df.agg(fn.units_total("x")).first()[0] for df in (forward, backward)}
+    totals = {df.agg(fn.units_total("x", 2)).first()[0] for df in (forward, backward)}
     assert totals == {20990116.0}
 
 
 def test_units_keep_sign_and_null(spark):
     df = spark.createDataFrame([(1.15,), (-1.15,), (None,), (-0.0,)], "x double")
-    assert [r[0] for r in df.select(fn.units("x")).collect()] == [115, -115, None, 0]
+    assert [r[0] for r in df.select(fn.units("x", 2)).collect()] == [115, -115, None, 0]
 
 
 def test_units_mean_skips_nulls(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")
-    assert df.agg(fn.units_mean("x")).first()[0] == 1.5
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,), (float("nan"),)], "x double")
+    for scale in (None, 0, 2):
+        assert df.agg(fn.units_mean("x", scale)).first()[0] == 1.5
+        assert df.agg(fn.units_total("x", scale)).first()[0] == 3.0
 
 
 def test_total_of_nothing_is_null(spark):
     df = spark.createDataFrame([], "x double")
-    assert df.agg(fn.units_total("x")).first()[0] is None
+    for scale in (None, 2):
+        assert df.agg(fn.units_total("x", scale)).first()[0] is None
 
 
-def test_total_that_overflows_raises(spark):
-    df = spark.createDataFrame([(9e16,), (9e16,)], "x double")
-    with pytest.raises(PySparkException):
-        df.agg(fn.units_total("x")).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_above_the_bigint_range(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(9 * 10**18,)] * 4 + [(-5,)], "u bigint").repartition(3)
+        assert df.agg(fn.exact_total("u")).first()[0] == 36 * 10**18 - 5
+        amounts = spark.createDataFrame([(9e16,)] * 4, "x double")
+        assert amounts.agg(fn.units_total("x", 2)).first()[0] == 3.6e17
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize(("amount", "scale"), [(0.004, 2), (2.9, 0), (float("inf"), 2)])
+def test_digits_beyond_the_stated_ones_are_refused(spark, amount, scale):
+    df = spark.createDataFrame([(amount,)], "x double")
+    with pytest.raises(PySparkException, match="not whole"):
+        df.agg(fn.units_total("x", scale)).collect()
 
 
 @pytest.mark.parametrize(
@@ -69,11 +85,10 @@ def test_date_parts(spark):
 
 
 def test_amounts_without_fixed_digits(spark):
-    df = spark.createDataFrame([(0.001,), (0.001,), (0.001,)], "x double")
-    assert df.agg(fn.units_total("x")).first()[0] == 0.0
-    assert df.agg(fn.units_total("x", 3)).first()[0] == 0.003
-    assert abs(df.agg(fn.units_total("x", None)).first()[0] - 0.003) < 1e-12
-    assert abs(df.agg(fn.units_mean("x", None)).first()[0] - 0.001) < 1e-12
+    df = spark.createDataFrame([(0.004,)] * 1000, "x double")
+    assert df.agg(fn.units_total("x", 3)).first()[0] == 4.0
+    assert abs(df.agg(fn.units_total("x")).first()[0] - 4.0) < 1e-9
+    assert abs(df.agg(fn.units_mean("x")).first()[0] - 0.004) < 1e-12
 
 
 def test_shares_use_all_stored_digits(spark):

@@ -66,12 +66,12 @@ def test_counts_come_from_one_pass_and_match_the_steps(spark, transactions, plan
 
 
 EMPLOYEES = [
-    (1, "Ann", "Engineering", 95000.0, "2021-06-15", "Oslo", 3),
-    (2, "Bo", "Engineering", 72000.0, "2020-03-10", "Rome", 5),
-    (3, "Cy", "Engineering", 95000.0, "2022-01-20", "Bern", 2),
-    (4, None, "Engineering", 99000.0, "2023-03-01", "Oslo", 1),
-    (5, "Di", "Finance", None, "2022-08-18", "Rome", 2),
-    (6, "Ed", "Finance", 51000.55, "not a date", "Bern", 8),
+    (40, "Ivo", "Harbour", 30250.25, "2011-02-30", "Riga", 14),  # no such day
+    (41, "Uma", "Archive", None, "2015-11-30", "Cork", 6),
+    (42, "Lin", "Harbour", 90000.0, None, "Riga", 9),
+    (43, "Zoe", "Archive", 69999.5, "2019-04-01", "Lund", 4),
+    (44, "Kai", "Archive", 80000.0, "2024-07-09", None, 0),
+    (45, None, "Harbour", 45000.0, "2018-09-21", "Cork", 7),
 ]
 
 
@@ -83,27 +83,27 @@ def staff(spark):
 
 def test_pay_columns(staff):
     found = {r["emp_id"]: r for r in staff.collect()}
-    assert set(found) == {1, 2, 3, 5, 6}
-    assert [found[i]["salary_grade"] for i in (1, 2, 5, 6)] == ["A", "B", "B", "C"]
-    assert (found[5]["salary"], found[5]["annual_bonus"], found[5]["total_comp"]) == (80000, 8000, 88000)
-    assert (found[6]["annual_bonus"], found[6]["total_comp"]) == (5100.06, 56100.61)
-    assert (found[1]["join_year"], found[6]["join_year"]) == (2021, None)
+    assert set(found) == {40, 41, 42, 43, 44}
+    assert [found[i]["salary_grade"] for i in (40, 41, 42, 43)] == ["C", "B", "A", "C"]
+    assert (found[41]["salary"], found[41]["annual_bonus"], found[41]["total_comp"]) == (80000, 8000, 88000)
+    assert (found[40]["annual_bonus"], found[40]["total_comp"]) == (3025.03, 33275.28)
+    assert [found[i]["join_year"] for i in (40, 42, 43)] == [None, None, 2019]
 
 
 def test_department_report(staff):
     assert [tuple(r) for r in people.department_report(staff).collect()] == [
-        ("Engineering", 3, 87333.33, 95000.0, 72000.0, 288200.0),
-        ("Finance", 2, 65500.28, 80000.0, pytest.approx(51000.55, abs=0.01), 144100.61),
+        ("Archive", 3, 76666.5, 80000.0, 69999.5, 252999.45),
+        ("Harbour", 2, 60125.13, 90000.0, 30250.25, 132275.28),
     ]
 
 
 def test_pay_ranks_leave_gaps_after_ties(staff):
     ranks = {r["emp_id"]: r["dept_salary_rank"] for r in people.pay_ranks(staff).collect()}
-    assert ranks == {1: 1, 3: 1, 2: 3, 5: 1, 6: 2}
+    assert ranks == {41: 1, 44: 1, 43: 3, 42: 1, 40: 2}
 
 
 def test_filter_and_rename(staff):
-    assert [r["emp_id"] for r in people.well_paid(staff, "Engineering", 80000.0).orderBy("emp_id").collect()] == [1, 3]
+    assert [r["emp_id"] for r in people.well_paid(staff, "Archive", 75000.0).orderBy("emp_id").collect()] == [41, 44]
     assert "employee_name" in people.with_readable_names(staff).columns
 
 

@@ -18,6 +18,10 @@ def test_date_range_includes_the_last_day(spark):
     assert filters.where_date_between(df, "at", first, last).count() == 2
     days = df.select(F.to_date("at").alias("day"))
     assert filters.where_date_between(days, "day", first, last).count() == 2
+    texts = days.sparkSession.createDataFrame([("1996-1-5",), ("11/8/1996",), ("later",), (None,)], "t string")
+    assert filters.where_date_between(texts, "t", date(1996, 1, 1), date(1996, 12, 31)).count() == 0
+    us = filters.where_date_between(texts, "t", date(1996, 1, 1), date(1996, 12, 31), pattern="M/d/yyyy")
+    assert [r.t for r in us.collect()] == ["11/8/1996"]
 
 
 def test_predicates(spark, rows):
@@ -53,7 +57,7 @@ def test_aggregate_then_join_equals_join_then_aggregate(spark, rows):
         [(1, "red"), (2, "red"), (2, "blue"), (4, "blue"), (None, "none")], "id int, colour string"
     )
     measures = {
-        "total": ("sum", units("x")),
+        "total": ("sum", units("x", 2)),
         "n": ("count", None),
         "filled": ("count", "x"),
         "low": ("min", "x"),
@@ -64,7 +68,7 @@ def test_aggregate_then_join_equals_join_then_aggregate(spark, rows):
         join_dimension(fact, dim, "k", "id")
         .groupBy("colour")
         .agg(
-            F.sum(units("x")).alias("total"),
+            F.sum(units("x", 2)).alias("total"),
             F.count("*").alias("n"),
             F.count("x").alias("filled"),
             F.min("x").alias("low"),
@@ -117,10 +121,12 @@ def test_summaries(spark, rows):
     assert rows(aggregates.groups_where(counted, "count > 1")) == [("w", 2)]
 
 
-def test_overall_statistics_of_an_empty_table(spark):
-    df = spark.createDataFrame([], "price double, age int")
-    row = aggregates.overall_statistics(df, "price", "age").first()
-    assert row["total_rows"] == 0 and row["total_amount"] is None
+def test_statistics(spark, rows):
+    df = spark.createDataFrame([("a", 1.25, 3), ("a", 2.25, None), ("b", None, 4)], "k string, price double, age int")
+    measures = {"n": ("rows", None), "sum": ("total", "price", 1), "mean": ("mean", "age"), "top": ("max", "price")}
+    found = aggregates.statistics(df, measures, ["k"], scales={"price": 2})
+    assert rows(found) == [("a", 2, 3.5, 3.0, 2.25), ("b", 1, None, 4.0, None)]
+    assert rows(aggregates.statistics(df.limit(0), measures)) == [(0, None, None, None)]
 
 
 def test_dimension_choice_does_not_depend_on_row_order(spark, rows):

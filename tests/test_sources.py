@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -61,16 +62,21 @@ def test_null_token(spark, people, tmp_path):
     assert tuple(back.first()) == (1, None, None)
 
 
-def test_single_file_only_for_small_results(spark, tmp_path):
-    df = spark.range(100).repartition(4)
-    small, large = str(tmp_path / "small"), str(tmp_path / "large")
-    sources.write_csv(df, small, single_file=True)
-    sources.write_csv(df, large, single_file=True, single_file_rows=99)
-    assert len(files(small, ".csv")) == 1
-    assert len(files(large, ".csv")) == 4
-    assert spark.read.option("header", True).csv(large).count() == 100
-    sources.write_parquet(df, small, single_file=True)
-    assert len(files(small, ".parquet")) == 1
+def test_number_of_files_is_honoured_and_order_kept(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(5000).selectExpr("id", "id % 977 AS v").repartition(40).orderBy("v", "id")
+        sources.write_csv(df, str(tmp_path / "one"), files=1)
+        sources.write_parquet(df, str(tmp_path / "one"), files=1)
+        sources.write_csv(spark.range(100).repartition(4), str(tmp_path / "many"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(files(tmp_path / "many", ".csv")) == 4
+    assert len(files(tmp_path / "one", ".parquet")) == 1
+    sources.write_csv(df, str(tmp_path / "one"), files=1)
+    (file,) = files(tmp_path / "one", ".csv")
+    lines = [tuple(map(int, line.split(",")))[::-1] for line in file.read_text().splitlines()[1:]]
+    assert len(lines) == 5000 and lines == sorted(lines)
 
 
 def test_partitioned_parquet_prunes(spark, people, tmp_path, plan_of):
@@ -82,34 +88,60 @@ def test_partitioned_parquet_prunes(spark, people, tmp_path, plan_of):
 
 
 def test_declare_insert_replace(spark, people, tmp_path, rows):
-    sources.declare_table(spark, "t_people", people.schema, str(tmp_path / "a"))
+    path = str(tmp_path / "a")
+    sources.declare_table(spark, "t_people", people.schema, path)
     assert spark.table("t_people").count() == 0
     sources.insert_rows(people.select("price", "name", "id"), "t_people")
     assert rows(sources.read_table(spark, "t_people")) == rows(people)
-    sources.replace_table(people.limit(2), "t_people", str(tmp_path / "b"))
-    assert spark.table("t_people").count() == 2
+    for _ in range(2):  # the same location, so nothing may be left over
+        sources.replace_table(people.where("id < 3"), "t_people", path)
+        assert rows(spark.table("t_people")) == rows(people.where("id < 3"))
     spark.sql("DROP TABLE t_people")
 
 
 def test_copy_and_compare(spark, people, tmp_path, rows):
-    source, target = str(tmp_path / "source"), str(tmp_path / "target")
-    sources.write_csv(people.unionByName(people.limit(1)), source)
-    sources.copy_csv(spark, source, target, people.schema)
-    left = sources.read_csv(spark, source, people.schema)
-    right = sources.read_csv(spark, target, people.schema)
+    source, target = tmp_path / "source", str(tmp_path / "target")
+    source.mkdir()
+    (source / "a.csv").write_text('id,name,price\n1,x,"1,200.50"\n2,"",\n3,"line\nbreak ""q""",x\n,  padded ,7\n1,x,"1,200.50"\n')
+    sources.copy_csv(spark, str(source), target, people.columns, multi_line=True)
+    left = sources.read_text_cells(spark, str(source), people.columns, multi_line=True)
+    right = sources.read_text_cells(spark, target, people.columns, multi_line=True)
+    cells = [("1", "x", "1,200.50"), ("1", "x", "1,200.50"), ("2", "", None), ("3", 'line\nbreak "q"', "x"), (None, "  padded ", "7")]
+    assert sorted(rows(left), key=str) == sorted(rows(right), key=str) == sorted(cells, key=str)
     assert tuple(sources.verify_copy(left, right).first()) == (5, 5, 0)
     assert tuple(sources.verify_copy(left, right.dropDuplicates()).first()) == (5, 4, 1)
+    assert tuple(sources.verify_copy(left, right.na.fill("")).first()) == (5, 5, 4)
     extra = sources.row_differences(left, right.dropDuplicates())
-    assert rows(extra) == [(1, "  padded ", 1.5, 1)]
-    found = sources.file_metadata(spark, source).collect()
-    assert sum(r["file_size"] for r in found) == sum(f.stat().st_size for f in files(source, ".csv"))
+    assert rows(extra) == [("1", "x", "1,200.50", 1)]
+    found = sources.file_metadata(spark, str(source)).collect()
+    assert sum(r["file_size"] for r in found) == (source / "a.csv").stat().st_size
+
+
+def test_copy_keeps_an_encoding(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_bytes("id,name\n1,é\n".encode("latin-1"))
+    sources.copy_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "b"), ["id", "name"], encoding="ISO-8859-1")
+    assert rows(sources.read_text_cells(spark, str(tmp_path / "b"), ["id", "name"], encoding="ISO-8859-1")) == [("1", "é")]
+
+
+def test_sql_text_leaves_no_views_and_takes_turns(spark, people, rows):
+    people.limit(0).createOrReplaceTempView("mine")
+    with ThreadPoolExecutor(4) as pool:
+        found = list(
+            pool.map(lambda i: sources.run_query(spark, 'SELECT "id" FROM mine', {"mine": people.where(f"id = {i}")}).collect(), [1, 2, 3, 4])
+        )
+    assert [[r.id for r in part] for part in found] == [[1], [2], [3], [4]]
+    assert spark.table("mine").count() == 0
+    spark.catalog.dropTempView("mine")
+    sources.run_query(spark, "SELECT * FROM other", {"other": people})
+    assert "other" not in {t.name for t in spark.catalog.listTables()}
+    assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == "false"
 
 
 def test_nothing_to_copy(spark, people, tmp_path):
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "a.csv").write_text("")
     with pytest.raises(ValueError, match="nothing to copy"):
-        sources.copy_csv(spark, str(tmp_path / "empty"), str(tmp_path / "to"), people.schema)
+        sources.copy_csv(spark, str(tmp_path / "empty"), str(tmp_path / "to"), people.columns)
 
 
 def test_sql_text(spark, people, rows):
