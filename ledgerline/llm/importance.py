@@ -66,7 +66,7 @@ def _keys(ratios, seed: int):
             noise = -np.log(-np.log(((hashed >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52))
             for first, texts in words.chunks(batch.column(1)):
                 buckets, owner = hashed_ngrams(texts)
-                weight = np.bincount(owner, table[buckets], minlength=len(texts))
+                weight = np.bincount(owner, table[buckets], minlength=len(texts)).astype(np.float64)  # also without words
                 key = weight + noise[first : first + len(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.array(weight), pa.array(key), pa.array(ordered_bits(key))],
