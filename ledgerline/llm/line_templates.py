@@ -8,9 +8,9 @@ elsewhere. A line belongs to the template if at least ``similarity`` of its toke
 are the template's; other lines are templates of their own. Templates that occur
 in several documents are boilerplate: their lines are dropped, except the first.
 
-Everything that decides works on hashes of lines. Line text is shuffled only for
-leaves with more than one distinct line, and document text once, to meet the
-list of lines to drop.
+Everything that decides works on hashes of lines. Document text is shuffled
+twice: to meet the places of distinct lines in leaves that have several, and to meet
+the list of lines to drop.
 """
 
 from __future__ import annotations
@@ -33,16 +33,17 @@ def line_tokens(line: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(masked, r"[ \t\r\f\x0b]+"))
 
 
-def _parsed(docs: DataFrame, leading: int, min_tokens: int) -> DataFrame:
+def _parsed(docs: DataFrame, leading: int, min_tokens: int, *more: str) -> DataFrame:
     """Lines of at least ``min_tokens`` tokens with their leaf and their own key."""
-    lines = docs.select("_doc", "_text_key", F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_line"))
-    tokens = lines.select("_doc", "_text_key", "_place", line_tokens(F.col("_line")).alias("_tokens"))
+    lines = docs.select("_doc", "_text_key", *more, F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_line"))
+    tokens = lines.select("_doc", "_text_key", "_place", *more, line_tokens(F.col("_line")).alias("_tokens"))
     long = tokens.where(F.size("_tokens") >= min_tokens)
     return long.select(
         "_doc",
         "_text_key",
         "_place",
         "_tokens",
+        *more,
         F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, leading)).alias("_leaf"),
         F.xxhash64("_tokens").alias("_key"),
     )
@@ -50,14 +51,21 @@ def _parsed(docs: DataFrame, leading: int, min_tokens: int) -> DataFrame:
 
 def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens: int, similarity: float) -> DataFrame:
     """(leaf, key) of the distinct lines that belong to their leaf's template."""
+    firsts = freeze(
+        hashed.groupBy("_leaf", "_key").agg(F.min(F.struct("_doc", "_text_key", "_place")).alias("_at")), "first-places"
+    )
     several = freeze(
-        hashed.groupBy("_leaf").agg(F.min("_key").alias("_low"), F.max("_key").alias("_high"))
-        .where("_low < _high").select("_leaf"),
-        "shared-leaves",
-    )
-    parsed = _parsed(docs, leading, min_tokens).select("_leaf", "_key", "_tokens")
+        firsts.groupBy("_leaf").agg(F.count("*").alias("_n")).where("_n > 1").select("_leaf"), "shared-leaves"
+    )
+    # One place for each distinct line of a shared leaf; the documents that hold one are read again.
+    places = freeze(
+        firsts.join(several, "_leaf").groupBy("_at._doc", "_at._text_key").agg(F.collect_list("_at._place").alias("_places")),
+        "places",
+    )
+    held = docs.join(places.hint("merge"), ["_doc", "_text_key"])
+    parsed = _parsed(held, leading, min_tokens, "_places").where(F.array_contains("_places", F.col("_place")))
     distinct = freeze(
-        parsed.join(several, "_leaf", "left_semi").groupBy("_leaf", "_key").agg(F.first("_tokens").alias("_tokens")),
+        parsed.select("_leaf", "_key", "_tokens").groupBy("_leaf", "_key").agg(F.first("_tokens").alias("_tokens")),
         "distinct-lines",
     )
     sizes = distinct.groupBy("_leaf").agg(F.count("*").alias("_lines"))
@@ -143,7 +151,7 @@ def drop_recurring_lines(
     rest = [F.col(f"d.`{c}`") for c in docs.columns if c not in (text_column, "n_lines", "n_dropped")]
     d = docs.withColumn("_line_text_key", F.xxhash64(text_column)).alias("d")
     joined = d.join(
-        dropped.alias("x"),
+        dropped.hint("merge").alias("x"),
         (F.col(f"d.`{id_column}`") == F.col("x._doc")) & (F.col("d._line_text_key") == F.col("x._text_key")),
         "left",
     )
