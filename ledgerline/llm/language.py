@@ -213,7 +213,7 @@ def _spans(model, penalty: float):
                 data, starts, ends, places = letter_runs([texts[row] for row in rows])
                 firsts = np.searchsorted(starts, places)
                 path = viterbi(m.word_scores(data, starts, ends), firsts, penalty) if len(starts) and len(langs) else np.zeros(0, int)
-                owner = np.repeat(np.arange(len(rows)), np.diff(firsts))
+                owner = np.repeat(np.arange(len(rows)), np.diff(firsts))[: len(path)]  # none without languages
                 letters = np.zeros((len(rows), max(len(langs), 1)))
                 if len(path):
                     np.add.at(letters, (owner, path), ends - starts)
