@@ -14,7 +14,6 @@ input, such as an aggregate over a join, through ``workspace.freeze`` first.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,9 +25,7 @@ from ledgerline.workspace import freeze
 # One task sorts a group of this many rows without strain, wide rows included.
 GROUP_ROWS = 1_000_000
 
-# A table of large groups' keys up to this many rows may be sent to every task.
-BROADCAST_KEYS = 100_000
-
+_UNSORTED = {"map", "variant", "interval"}
 _KINDS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -43,6 +40,14 @@ def _with_window(
     return df.withColumn(name, _KINDS[kind]().over(window).cast("bigint"))
 
 
+def _total(df: DataFrame, keys: list[SortKey], groups: Sequence[str]) -> list[SortKey]:
+    """Sort keys followed by the remaining columns that can be sorted, so that only
+    rows which are the same all over still tie."""
+    used = {*groups, *[key.name for key in keys]}
+    rest = [f.name for f in df.schema.fields if f.name not in used and f.dataType.typeName() not in _UNSORTED]
+    return [*keys, *[SortKey(name) for name in rest]]
+
+
 def _prefixed(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
 
@@ -92,8 +97,9 @@ def _sliced_positions(
         .drop("_slice_keys", "_slice_rows")
     )
     before = _prefixed(before, ["_slice", *groups], "before_")
+    here = (F.col("_slice") == F.col("before__slice")) & _same(groups, "before_")
     return (
-        within.join(before, _same(["_slice", *groups], "before_"))
+        within.join(before, here)
         .withColumns(
             {
                 "_key_position": F.col("_key_position") + F.col("_keys_before"),
@@ -126,13 +132,6 @@ def _with_slices(
     return df.join(ranked, _same(on, "ranked_")).select(*df.columns, name)
 
 
-def _slice_count(df: DataFrame, n_rows: int, slice_rows: int) -> int:
-    """Enough slices that one holds about ``slice_rows`` rows, and no fewer than
-    the session uses for any other shuffle."""
-    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, math.ceil(n_rows / max(slice_rows, 1)))
-
-
 def rank_rows(
     df: DataFrame,
     order_by: Sequence[SortKey | str],
@@ -141,28 +140,28 @@ def rank_rows(
     kind: str = "rank",
     name: str = "rank",
     group_rows: int = GROUP_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``rank``, ``dense_rank`` or ``row_number`` over an order.
 
-    For ``row_number`` the order has to be total within its group. Groups of
-    more than ``group_rows`` rows are ranked in slices.
+    For ``row_number`` rows that tie on the order are told apart by their other
+    columns, so a number does not depend on how the rows are laid out. Groups of
+    more than ``group_rows`` rows are ranked in slices; by default there are as many
+    as the session has shuffle partitions.
     """
     keys, groups = _keys(order_by), list(partition_by)
+    if kind == "row_number":
+        keys = _total(df, keys, groups)
     sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
     large = F.col("_n") > group_rows
-    measured = sizes.agg(
-        F.count_if(large).alias("n_large"),
-        F.sum(F.when(large, F.col("_n"))).alias("rows_in_large"),
-    ).first()
+    measured = sizes.agg(F.count_if(large).alias("n_large")).first()
     if not measured["n_large"]:
         return _with_window(df, keys, groups, kind, name)
-    slices = _slice_count(df, measured["rows_in_large"], group_rows)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if not groups:
         return _with_slices(df, keys, groups, kind, name, slices)
-    # At most (rows / group_rows) groups can be large, and they are counted.
+    # At most (rows / group_rows) groups can be large; stored, their size is known to Spark.
     hot = _prefixed(freeze(sizes.where(large).select(*groups)), groups, "hot_")
-    if measured["n_large"] <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
     is_hot = _same(groups, "hot_")
     small_part = df.join(hot, is_hot, "left_anti")
     large_part = df.join(hot, is_hot, "left_semi")
@@ -190,16 +189,15 @@ def rank_top(
     on = [*groups, *[key.name for key in keys]]
     window = Window.partitionBy(*groups).orderBy(*sort_columns(keys))
     upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = df.groupBy(*on).agg(F.count("*").alias("_ties"))
+    if not groups:
+        counted = counted.orderBy(*sort_columns(keys)).limit(k)  # no more than k keys meet in one task
     leading = (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("_ties"))
-        .withColumn("_key_position", F.row_number().over(window).cast("bigint"))
+        counted.withColumn("_key_position", F.row_number().over(window).cast("bigint"))
         .where(F.col("_key_position") <= k)
         .withColumn("_row_position", F.sum("_ties").over(upto))
         .withColumn(name, _rank_value(kind))
         .where(F.col(name) <= k)
     )
     leading = _prefixed(leading.select(*on, name), on, "leading_")
-    if not groups:
-        leading = F.broadcast(leading)  # k rows at most
     return df.join(leading, _same(on, "leading_")).select(*df.columns, name)

@@ -90,3 +90,17 @@ def test_few_rows_use_a_plain_window(spark, plan_of):
     df = spark.range(20).selectExpr("id", "id % 3 AS g", "id % 7 AS score")
     plan = plan_of(rank_rows(df, [descending("score")], ["g"]))
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_tied_row_numbers_do_not_depend_on_the_way(spark):
+    df = spark.range(400).selectExpr("id % 2 AS g", "id % 3 AS v", "id AS other").repartition(5)
+    plain = rank_rows(df, ["v"], ["g"], kind="row_number", name="n")
+    sliced = rank_rows(df.repartition(3), ["v"], ["g"], kind="row_number", name="n", group_rows=50, slices=4)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, sliced.collect()))
+
+
+def test_many_top_ranks_do_not_gather_all_keys(spark, plan_of, tmp_path):
+    spark.range(9000).selectExpr("id", "id % 3000 AS v").write.parquet(str(tmp_path / "t"))
+    top = rank_top(spark.read.parquet(str(tmp_path / "t")), ["v"], 2000, name="r")
+    assert "TakeOrderedAndProject" in plan_of(top) or "GlobalLimit" in plan_of(top)
+    assert top.count() == 2001
