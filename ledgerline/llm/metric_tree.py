@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.workspace import freeze
 
-PAGE = 256  # vectors in a leaf
+PAGE = 1024  # vectors in a leaf
 FANOUT = 16  # children of an inner node
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 1_024

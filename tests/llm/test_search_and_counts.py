@@ -97,7 +97,8 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert metric_tree.top_inner_products(frame.limit(0)).count() == 0
 
 
-def test_trees_of_deep_shards_are_exact():
+def test_trees_of_deep_shards_are_exact(monkeypatch):
+    monkeypatch.setattr(metric_tree, "PAGE", 64)  # several levels
     rng = np.random.default_rng(8)
     vectors = np.floor(64 * rng.normal(size=(3000, 6)))
     vectors[1000:1600] = vectors[0]
