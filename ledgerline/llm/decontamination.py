@@ -3,8 +3,9 @@
 Every item gets a SimHash of its word shingles, and so does a document's window
 of as many words, at every place where it can matter: a window that shares too few
 shingles with all items together cannot reach the similarity with any one of
-them, and a bitmap of the items' shingles, of fixed size, tells. Windows and items
-meet through multi-index Hamming blocks: if two fingerprints differ in at most
+them, and a bitmap of the items' shingles, of fixed size, tells. A document that is
+shorter than an item but could still be similar to it is one window, the whole of it.
+Windows and items meet through multi-index Hamming blocks: if two fingerprints differ in at most
 ``RADIUS`` bits, then in at least one of ``BLOCKS`` blocks they differ in at most
 ``RADIUS // BLOCKS``, so looking up each block with all values that near finds
 every pair within the radius. Candidates are then confirmed by the exact weighted
@@ -82,7 +83,7 @@ def _window_rows(n: int, percent: int, bitmap, lengths):
         for batch in batches:
             for first, texts in words.chunks(batch.column(1)):
                 hashed, bounds = words.hashed_words(texts)
-                found = {"row": [], "n_words": [], "start": [], "print": [], "shingles": []}
+                found = {"row": [], "n_words": [], "start": [], "words": [], "print": [], "shingles": []}
                 for width in range(1, n):  # items shorter than a shingle are one shingle
                     if width in lengths.value:
                         _windows(hashed, bounds, width, width, percent, table, [width], found)
@@ -95,10 +96,11 @@ def _window_rows(n: int, percent: int, bitmap, lengths):
                         batch.column(0).take(pa.array([first + row for row in found["row"]], pa.int64())),
                         pa.array(found["n_words"], pa.int64()),
                         pa.array(found["start"], pa.int64()),
+                        pa.array(found["words"], pa.int64()),
                         pa.array(words.signed(np.array(found["print"], np.uint64)), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(words.signed(flat), pa.int64())),
                     ],
-                    names=["doc_id", "n_words", "start", "print", "shingles"],
+                    names=["doc_id", "n_words", "start", "words", "print", "shingles"],
                 )
 
     return run
@@ -117,6 +119,7 @@ def _windows(hashed, bounds, n, shortest, percent, table, lengths, found) -> Non
     counts = np.diff(bounds)
     for length in lengths if len(hot) else []:
         size = length - n + 1  # shingles of the window
+        _whole_texts(values, firsts, counts, before, n, percent, length, found)
         # intersection / union >= percent / 100 with both of this size
         need = -(-2 * size * percent // (100 + percent))
         # A window holds `need` known shingles only if it begins at most size - 1 before one.
@@ -139,10 +142,27 @@ def _windows(hashed, bounds, n, shortest, percent, table, lengths, found) -> Non
         found["row"] += text.tolist()
         found["n_words"] += [length] * len(begins)
         found["start"] += (begins - firsts[text]).tolist()
+        found["words"] += [length] * len(begins)
         found["print"] += prints.tolist()
         found["shingles"] += list(values[index])
 
 
+def _whole_texts(values, firsts, counts, before, n, percent, length, found) -> None:
+    """Append the texts shorter than an item's length that could be similar to the item."""
+    sizes = np.diff(firsts)
+    size = length - n + 1
+    need = -(-(sizes + size) * percent // (100 + percent))
+    held = before[firsts[1:]] - before[firsts[:-1]]
+    for text in np.flatnonzero((counts >= n) & (counts < length) & (held >= need)).tolist():
+        shingles = values[firsts[text] : firsts[text + 1]]
+        found["row"].append(text)
+        found["n_words"].append(length)
+        found["start"].append(0)
+        found["words"].append(int(counts[text]))
+        found["print"] += simhash(shingles, np.array([0, len(shingles)])).tolist()
+        found["shingles"].append(shingles)
+
+
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Numbers of the bitmap bytes and bits that a task's item shingles set."""
     seen = np.zeros(FILTER_BITS, dtype=bool)
@@ -202,7 +222,8 @@ def find_leaks(
     (from 0) and length in words, and how many windows reach ``percent`` hundredths.
 
     Words are runs of characters other than white space, with A-Z lower-cased.
-    Items of fewer words than a shingle has are one shingle. Null, empty and
+    Items of fewer words than a shingle has are one shingle. A document of fewer words
+    than an item is compared with it as a whole, and ``n_words`` is its own length. Null, empty and
     wordless texts match nothing, null ids take no part, repeated rows change only
     ``n_windows``, and an empty table on either side gives an empty result. Other
     columns are not looked at.
@@ -226,7 +247,7 @@ def find_leaks(
     windows = freeze(
         source.where("doc_id IS NOT NULL").mapInArrow(
             _window_rows(shingle_words, percent, share(bitmap.tobytes()), share(lengths)),
-            "doc_id bigint, n_words bigint, start bigint, print bigint, shingles array<bigint>",
+            "doc_id bigint, n_words bigint, start bigint, words bigint, print bigint, shingles array<bigint>",
         ),
         "windows",
     )
@@ -243,8 +264,8 @@ def find_leaks(
         .join(known.select("item_id", "item_print", "item_shingles"), "item_id")
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     )
-    both = met.join(windows.select("doc_id", "start", "n_words", "shingles"), ["doc_id", "start", "n_words"])
-    checked = both.select("doc_id", "item_id", "start", "n_words", "shingles", "item_shingles").mapInArrow(
+    both = met.join(windows.select("doc_id", "start", "n_words", "words", "shingles"), ["doc_id", "start", "n_words"])
+    checked = both.select("doc_id", "item_id", "start", F.col("words").alias("n_words"), "shingles", "item_shingles").mapInArrow(
         _weighted_similarity, "doc_id bigint, item_id bigint, start bigint, n_words bigint, shared bigint, total bigint"
     )
     close = checked.where(F.col("shared") * 100 >= F.col("total") * percent).withColumn(

@@ -58,6 +58,14 @@ def test_leaks_equal_brute_force(spark, docs_of):
     assert {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity, r.n_windows) for r in found} == expected
 
 
+def test_documents_shorter_than_an_item_leak(spark, docs_of):
+    item = [f"w{i}" for i in range(45)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "some other words that are here")], "item_id bigint, text string")
+    rows = [(1, " ".join(item[:-1])), (2, " ".join(item[4:])), (3, " ".join(item[:30])), (4, "w0 w1 w2"), (5, " ".join(item))]
+    found = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity, r.n_windows) for r in decontamination.find_leaks(docs_of(rows), items).collect()}
+    assert found == {(1, 1): (0, 44, 40 / 41, 1), (2, 1): (0, 41, 37 / 41, 1), (5, 1): (0, 45, 1.0, 1)}
+
+
 def test_leaks_of_odd_tables(spark, docs_of, odd_rows):
     items = spark.createDataFrame([(1, "the cat sat on the mat")], "item_id bigint, text string")
     assert [(r.doc_id, r.start) for r in decontamination.find_leaks(docs_of(odd_rows), items).collect()] == [(1, 0)]
