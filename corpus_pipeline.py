@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text. Texts that were blank or null before stay.
     """
-    cleaned = line_templates.drop_recurring_lines(docs)
+    cleaned = line_templates.drop_recurring_lines(docs, several_templates=True)
     emptied = (F.col("n_dropped") > 0) & (F.btrim("text", F.lit(" \t\r\n\f\x0b")) == "")
     return (
         cleaned.where(~F.coalesce(emptied, F.lit(False)))

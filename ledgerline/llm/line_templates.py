@@ -2,11 +2,18 @@
 
 A line's tokens are its stretches without white space; a token with a digit is a
 variable field and reads ``<*>``. The tree has three levels: the number of tokens,
-the leading tokens, and the leaf's template. A leaf's template has, at each place,
-the token that at least half of the leaf's distinct lines have there, and ``<*>``
-elsewhere. A line belongs to the template if at least ``similarity`` of its tokens
-are the template's; other lines are templates of their own. Templates that occur
-in several documents are boilerplate: their lines are dropped, except the first.
+the leading tokens, and the leaf's templates. The leaf's first template has, at each
+place, the token that at least half of the leaf's distinct lines have there, and
+``<*>`` elsewhere. A line belongs to a template if at least ``similarity`` of its
+tokens are the template's.
+
+A leaf may hold several families of lines, none of them half of it. With
+``several_templates`` the lines left over are therefore grouped by blocks of tokens:
+lines that differ in no more places than the similarity allows agree on one of one
+more blocks. Each group votes again, by a strict majority, and a line takes the template that most lines belong to. This is
+repeated on what is left until no line is added. Lines without a template are
+templates of their own. Templates that occur in several documents are boilerplate:
+their lines are dropped, except the first.
 
 Everything that decides works on hashes of lines. Document text is shuffled
 twice: to meet the places of distinct lines in leaves that have several, and to meet
@@ -49,8 +56,70 @@ def _parsed(docs: DataFrame, leading: int, min_tokens: int, *more: str) -> DataF
     )
 
 
-def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens: int, similarity: float) -> DataFrame:
-    """(leaf, key) of the distinct lines that belong to their leaf's template."""
+def _voted(lines: DataFrame, group: str, strict: bool) -> DataFrame:
+    """(group, template) by majority at each place, for lines of (group, tokens)."""
+    sizes = lines.groupBy(group).agg(F.count("*").alias("_lines"))
+    votes = (
+        lines.select(group, F.posexplode("_tokens").alias("_i", "_token"))
+        .groupBy(group, "_i", "_token").agg(F.count("*").alias("_n"))
+        .groupBy(group, "_i").agg(F.max(F.struct("_n", "_token")).alias("_top"))
+    )
+    twice = F.col("_top._n") * 2
+    enough = twice > F.col("_lines") if strict else twice >= F.col("_lines")
+    return (
+        votes.join(sizes, group)
+        .groupBy(group)
+        .agg(F.sort_array(F.collect_list(F.struct("_i", F.when(enough, F.col("_top._token")).alias("_t")))).alias("_template"))
+    )
+
+
+def _belongs(similarity: float) -> Column:
+    """Whether enough of the tokens are the template's."""
+    same = F.aggregate(
+        F.zip_with("_tokens", "_template", lambda t, c: F.when(t == c["_t"], 1).otherwise(0)),
+        F.lit(0),
+        lambda total, x: total + x,
+    )
+    return same >= F.size("_tokens") * F.lit(similarity)
+
+
+def _block_templates(left: DataFrame, leading: int, similarity: float) -> DataFrame:
+    """(leaf, key, template number) of lines that share a template with another one.
+
+    Lines meet if they agree on a block of the tokens after the leading ones.
+    """
+    rest = F.size("_tokens") - leading
+    differ = F.size("_tokens") - F.ceil(F.size("_tokens") * F.lit(similarity))
+    number = F.least(differ + 1, rest).cast("int")
+    cut = lambda j: F.floor(j * rest / number).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), number - 1),
+        lambda j: F.xxhash64("_leaf", j, F.slice("_tokens", cut(j) + leading + 1, cut(j + 1) - cut(j))),
+    )
+    held = freeze(
+        left.where((rest > 0) & (differ > 0)).select("_leaf", "_key", F.explode(blocks).alias("_block")), "line-blocks"
+    )
+    # Blocks that gather the very same lines give the same template: one of them will do.
+    groups = (
+        held.groupBy("_leaf", "_block").agg(F.count("*").alias("_n"), F.bit_xor("_key").alias("_set"))
+        .where("_n > 1").groupBy("_leaf", "_n", "_set").agg(F.min("_block").alias("_block"))
+    )
+    members = freeze(
+        held.join(groups.select("_leaf", "_block"), ["_leaf", "_block"]).join(left, ["_leaf", "_key"]), "block-members"
+    )
+    templates = _voted(members, "_block", True)
+    fits = freeze(
+        members.join(templates, "_block").where(_belongs(similarity))
+        .select("_leaf", "_key", F.xxhash64("_leaf", "_template").alias("_number")).distinct(),
+        "block-fits",
+    )
+    support = fits.groupBy("_leaf", "_number").agg(F.count("*").alias("_n")).where("_n > 1")
+    best = fits.join(support, ["_leaf", "_number"]).groupBy("_leaf", "_key").agg(F.max(F.struct("_n", "_number")).alias("_best"))
+    return best.select("_leaf", "_key", F.col("_best._number").alias("_number"))
+
+
+def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens: int, similarity: float, repeat: bool) -> DataFrame:
+    """(leaf, key, template number) of the distinct lines that belong to a template of their leaf."""
     firsts = freeze(
         hashed.groupBy("_leaf", "_key").agg(F.min(F.struct("_doc", "_text_key", "_place")).alias("_at")), "first-places"
     )
@@ -68,33 +137,19 @@ def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens:
         parsed.select("_leaf", "_key", "_tokens").groupBy("_leaf", "_key").agg(F.first("_tokens").alias("_tokens")),
         "distinct-lines",
     )
-    sizes = distinct.groupBy("_leaf").agg(F.count("*").alias("_lines"))
-    votes = (
-        distinct.select("_leaf", F.posexplode("_tokens").alias("_i", "_token"))
-        .groupBy("_leaf", "_i", "_token").agg(F.count("*").alias("_n"))
-        .groupBy("_leaf", "_i").agg(F.max(F.struct("_n", "_token")).alias("_top"))
-    )
-    templates = freeze(
-        votes.join(sizes, "_leaf")
-        .groupBy("_leaf")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("_i", F.when(F.col("_top._n") * 2 >= F.col("_lines"), F.col("_top._token")).alias("_t"))
-                )
-            ).alias("_template")
-        ),
-        "templates",
-    )
-    same = F.aggregate(
-        F.zip_with("_tokens", "_template", lambda t, c: F.when(t == c["_t"], 1).otherwise(0)),
-        F.lit(0),
-        lambda total, x: total + x,
-    )
-    return freeze(
-        distinct.join(templates, "_leaf").where(same >= F.size("_tokens") * F.lit(similarity)).select("_leaf", "_key"),
+    templates = freeze(_voted(distinct.select("_leaf", "_tokens"), "_leaf", False), "templates")
+    found = freeze(
+        distinct.join(templates, "_leaf").where(_belongs(similarity)).select("_leaf", "_key", F.lit(0).cast("bigint").alias("_number")),
         "general-lines",
     )
+    left, added = distinct, found
+    while repeat:
+        left = freeze(left.join(added, ["_leaf", "_key"], "left_anti"), "lines-left")
+        added = freeze(_block_templates(left, leading, similarity), "general-lines")
+        if added.isEmpty():
+            break
+        found = found.unionByName(added)
+    return found
 
 
 def drop_recurring_lines(
@@ -104,6 +159,7 @@ def drop_recurring_lines(
     min_tokens: int = 3,
     leading: int = 3,
     similarity: float = 0.8,
+    several_templates: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -114,6 +170,8 @@ def drop_recurring_lines(
     no passage is lost altogether. Documents with the very same text count as
     one, so a document is not emptied for having a copy; that is for document
     de-duplication. Lines of fewer than ``min_tokens`` tokens always stay.
+    Without ``several_templates`` a leaf has its first template only, so in a crowded
+    leaf (many lines of one length and beginning) only exact repeats may be left to drop.
 
     A null text stays null, with 0 lines; an empty text has one blank line. Rows with a
     null id are left as they are and count for nothing. Rows that repeat an id and
@@ -127,10 +185,10 @@ def drop_recurring_lines(
     hashed = freeze(
         _parsed(keyed, leading, min_tokens).select("_doc", "_text_key", "_place", "_leaf", "_key"), "line-hashes"
     )
-    general = _general_lines(keyed, hashed, leading, min_tokens, similarity)
+    general = _general_lines(keyed, hashed, leading, min_tokens, similarity, several_templates)
     mapped = freeze(
-        hashed.join(general.withColumn("_general", F.lit(True)), ["_leaf", "_key"], "left").select(
-            "_doc", "_text_key", "_place", "_leaf", F.when(F.col("_general"), F.lit(0)).otherwise(F.col("_key")).alias("_template")
+        hashed.join(general, ["_leaf", "_key"], "left").select(
+            "_doc", "_text_key", "_place", "_leaf", F.coalesce("_number", "_key").alias("_template")
         ),
         "line-templates",
     )

@@ -30,6 +30,18 @@ def test_a_threshold_of_documents_and_copies_that_count_once(docs_of):
     assert all(r.n_dropped == 0 for r in drop_recurring_lines(docs_of(rows), min_documents=3).collect())
 
 
+def test_a_leaf_holds_several_templates(docs_of):
+    families = [
+        "Click here to read all the other news about {}",
+        "Click here to join our free weekly letter on {}",
+        "Click here to buy some new cheap things from {}",
+    ]
+    names = [a + b for a in "bcdfghklmnprst" for b in "ae"][:26]
+    rows = [(i * 3 + f, f"{n} own\n" + line.format(n)) for i, n in enumerate(names) for f, line in enumerate(families)]
+    found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(docs_of(rows), several_templates=True).collect()}
+    assert found == {i: int(i > 2) for i in found} and len(found) == 78
+
+
 def test_different_lines_with_the_same_beginning_stay(docs_of):
     rows = [(1, "it is a bright cold day today"), (2, "it is a dark warm night again"), (3, "ok\nok\nok")]
     assert all(r.n_dropped == 0 for r in drop_recurring_lines(docs_of(rows)).collect())
