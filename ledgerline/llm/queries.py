@@ -17,6 +17,7 @@ from ledgerline.llm import (
     personal_data,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from ledgerline.sources import read_parquet
 
@@ -185,6 +186,58 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op12_memoised_cell_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress_vectors(read_parquet(spark, f"{sf_dir}/embeddings.parquet"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+VECTOR_CODES_SQL = """
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), pieces AS (
+    SELECT r, vec_id, k AS part, v[k * len(v) // 16 + 1 : (k + 1) * len(v) // 16] AS s
+    FROM kept, (SELECT unnest(range(16)) AS k)
+), book0 AS (
+    SELECT part, entry, s AS c FROM (
+        SELECT part, s, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, s) - 1 AS entry FROM pieces)
+    WHERE entry < 64
+), near0 AS (
+    SELECT r, p.part, any_value(s) AS s,
+        min([list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(s, c)]), entry]) AS best
+    FROM pieces p JOIN book0 b ON p.part = b.part GROUP BY r, p.part
+), mean1 AS (
+    SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY i) AS c FROM (
+        SELECT part, best[2] AS entry, i, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM (
+            SELECT part, best, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM near0) GROUP BY ALL) GROUP BY ALL
+), book1 AS (
+    SELECT part, entry, coalesce(m.c, b.c) AS c FROM book0 b LEFT JOIN mean1 m USING (part, entry)
+), near1 AS (
+    SELECT r, p.part, any_value(s) AS s,
+        min([list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(s, c)]), entry]) AS best
+    FROM pieces p JOIN book1 b ON p.part = b.part GROUP BY r, p.part
+), mean2 AS (
+    SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY i) AS c FROM (
+        SELECT part, best[2] AS entry, i, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM (
+            SELECT part, best, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM near1) GROUP BY ALL) GROUP BY ALL
+), book2 AS (
+    SELECT part, entry, coalesce(m.c, b.c) AS c FROM book1 b LEFT JOIN mean2 m USING (part, entry)
+), near2 AS (
+    SELECT r, p.part, min([list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(s, c)]), entry]) AS best
+    FROM pieces p JOIN book2 b ON p.part = b.part GROUP BY r, p.part
+), coded AS (
+    SELECT r, string_agg(printf('%02x', CAST(best[2] AS INTEGER)), '' ORDER BY part) AS code,
+        CAST(sum(best[1]) AS BIGINT) AS error
+    FROM near2 GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
 def queries() -> dict:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
@@ -194,4 +247,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_template_dedup": LINE_TEMPLATES_SQL,
         "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
         "op10_metric_tree_top_k": TOP_K_SQL,
+        "op12_memoised_cell_codes": VECTOR_CODES_SQL,
     }
