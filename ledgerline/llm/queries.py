@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import (
     decontamination,
     importance,
+    jaccard_join,
     language,
     line_templates,
     metric_tree,
@@ -238,6 +239,41 @@ FROM kept JOIN coded USING (r), books
 """
 
 
+def op13_t_occurrence_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), shingle_words=3, percent=90)
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> ''] AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(words) >= 3
+        THEN list_distinct([array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)])
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS shingles
+    FROM texts
+), sized AS (
+    SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM sets
+), items AS (
+    SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT shared.a, shared.b FROM shared JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b
+    WHERE 100 * n >= 90 * (p.n_shingles + q.n_shingles - n)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM sized
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), components AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, n_shingles, component_id FROM sized JOIN components USING (doc_id)
+"""
+
+
 def queries() -> dict:
     return {name: build for name, build in globals().items() if name.startswith("op")}
 
@@ -248,4 +284,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
         "op10_metric_tree_top_k": TOP_K_SQL,
         "op12_memoised_cell_codes": VECTOR_CODES_SQL,
+        "op13_t_occurrence_jaccard": JACCARD_SQL,
     }
