@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ledgerline.workspace import freeze
 
 
-def _roots(parents: DataFrame) -> DataFrame:
+def roots(parents: DataFrame) -> DataFrame:
     """Follow parents to the top by pointer doubling: (node, root).
 
-    Every parent is smaller than its node, so there are no cycles. Both sides of
+    Parents must not form a cycle; a parent that has none itself is a root. Both sides of
     each join are stored tables, so a root with very many nodes is split.
     """
     table = freeze(parents.select("node", F.col("parent").alias("root")), "parents")
@@ -43,16 +43,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         # A hook goes from the larger end, so the smaller end needs no second row.
         hooks = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-        roots = _roots(hooks)
-        low = roots.select(F.col("node").alias("a"), F.col("root").alias("_a"))
-        high = roots.select(F.col("node").alias("b"), F.col("root").alias("_b"))
+        hooked = roots(hooks)
+        low = hooked.select(F.col("node").alias("a"), F.col("root").alias("_a"))
+        high = hooked.select(F.col("node").alias("b"), F.col("root").alias("_b"))
         if labels is None:
-            labels = roots
+            labels = hooked
         else:
-            over = roots.select(F.col("node").alias("root"), F.col("root").alias("_over"))
+            over = hooked.select(F.col("node").alias("root"), F.col("root").alias("_over"))
             labels = freeze(
                 labels.join(over, "root", "left").select("node", F.coalesce("_over", "root").alias("root"))
-                .unionByName(roots),
+                .unionByName(hooked),
                 "labels",
             )
         moved = edges.join(low, "a", "left").join(high, "b").select(

@@ -16,6 +16,7 @@ from ledgerline.llm import (
     near_duplicates,
     packing,
     personal_data,
+    spelling,
     token_counts,
     toxicity,
     vector_codes,
@@ -187,6 +188,57 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op11_pivotal_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+SPELLING_SQL = r"""
+WITH RECURSIVE found AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+), runs AS (
+    SELECT doc_id, run, count(*) AS n FROM found GROUP BY ALL
+), steps AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)
+        ORDER BY i) AS step
+    FROM (SELECT unnest(range(256)) AS i)
+), hashed AS (
+    SELECT run, n, xor(list_reduce(
+        flatten([CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END
+            FOR c IN string_split(concat(doc_id, ':', run), '')]),
+        lambda c, b: xor(step[xor(c & 255, b) + 1], c >> 8), 4294967295), 4294967295) AS h
+    FROM runs, steps
+), spelt AS (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed
+), vocabulary AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), places AS (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary
+), lacking AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less,
+        substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS open FROM places
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM lacking a JOIN lacking b ON a.open = b.open AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM lacking a JOIN vocabulary b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM lacking a JOIN vocabulary b ON a.less = b.word
+), ranked AS (
+    SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k FROM pairs
+), words AS (
+    SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near,
+        CASE WHEN r.other_n >= 2 * v.n THEN r.other END AS form, CASE WHEN r.other_n >= 2 * v.n THEN r.other_n END AS form_n
+    FROM vocabulary v LEFT JOIN ranked r ON v.word = r.word AND r.k = 1
+), chains AS (
+    SELECT word, word AS at, form AS up FROM words
+    UNION ALL
+    SELECT c.word, w.word, w.form FROM chains c JOIN words w ON c.up = w.word
+)
+SELECT w.word, w.form, c.at AS root, w.n, w.n_near, w.form_n FROM words w JOIN chains c ON w.word = c.word AND c.up IS NULL
+"""
+
+
 def op12_memoised_cell_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = vector_codes.compress_vectors(read_parquet(spark, f"{sf_dir}/embeddings.parquet"))
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -283,6 +335,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_template_dedup": LINE_TEMPLATES_SQL,
         "op5_minhash_near_duplicates": NEAR_DUPLICATES_SQL,
         "op10_metric_tree_top_k": TOP_K_SQL,
+        "op11_pivotal_gram_spelling": SPELLING_SQL,
         "op12_memoised_cell_codes": VECTOR_CODES_SQL,
         "op13_t_occurrence_jaccard": JACCARD_SQL,
     }
