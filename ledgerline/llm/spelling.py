@@ -8,10 +8,12 @@ Near words are found by pivotal grams:
 2. One edit touches at most one of two disjoint pivots. If two words are near, a pivot of one of them, the one whose
    prefix ends earlier in the order, is whole in the other, and the other's prefix reaches as
    far. So pivots are looked up in an index of all prefixes, and nothing else need be.
-3. Position limits: around a whole pivot the edit is either on its right, then it stands at the same place after
-   the same letters, or on its left, then it stands at the same place from the end before the same letters; lengths differ by
-   one at most. These are parts of the index key, so a rare bigram at a common place is no large group.
-4. What the look-up finds is verified by the edit distance.
+3. Position limits: letters on the other side of a whole pivot from the edit stay where they are, counted
+   from the start or from the end. With two pivots the edit is left of, within or right of the first, or the
+   second; each case says which letters of the word are untouched, and the index keys hold those around a
+   gram, so that a rare bigram at a common place is no large group. Lengths differ by one at most, which is
+   part of the key too.
+4. What the look-up finds must have the untouched letters and is verified by the edit distance.
 
 The number of bigrams is bounded by the alphabet, so their counts fit in any task. Everything else is
 joined and grouped by word.
@@ -107,20 +109,46 @@ def gram_prefix(word: str, lengths: dict[str, int]) -> tuple[list[int], list[int
     return pivots(ascending, [lengths[grams[i]] for i in ascending]), prefix
 
 
+def held_keys(word: str, prefix: list[int]) -> list[str]:
+    """Index keys of a word: each gram of its prefix with all letters on one side, alone or with the far end letter."""
+    out = []
+    for i in prefix:
+        left, right = word[: i + GRAM], word[i:]
+        out += [f"{left}<", f"{left}<{word[-1]}", f">{right}", f"{word[0]}>{right}"]
+    return out
+
+
+def asked_keys(word: str, first: int, second: int) -> list[tuple[str, str, str]]:
+    """Keys under which every near word stands, for each place of the edit, with the untouched start and end."""
+    after, last = first + GRAM, second + GRAM
+    out = [
+        (f"{word[:last]}<", word[:last], ""),  # right of the second pivot
+        (f">{word[first:]}", "", word[first:]),  # left of the first
+    ]
+    within_first = f"{word[0]}>{word[second:]}" if first else f">{word[second:]}"
+    out.append((within_first, word[:first], word[after:]))
+    if last < len(word):  # between the pivots or within the second
+        out.append((f"{word[:after]}<{word[-1]}", word[:after], word[last:]))
+    else:
+        out.append((f"{word[:after]}<{word[-1]}", word[:after], word[second:]))
+        out.append((f"{word[:after]}<", word[:second], ""))
+    return out
+
+
 def _index_rows(lengths: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out: list[tuple[str, int, int, str, bool]] = []
+            out: list[tuple] = []
             for word, n in zip(words, counts, strict=True):
                 chosen, prefix = gram_prefix(word, lengths)
-                for i in prefix:
-                    for key in ("<" + word[: i + GRAM], ">" + word[i:]):
-                        out.append((word, n, len(word), key, i in chosen))
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_()]
+                out += [(word, n, len(word), key, None, None) for key in held_keys(word, prefix)]
+                out += [(word, n, len(word), *asked) for asked in asked_keys(word, *chosen)]
+            columns = zip(*out, strict=True) if out else [[]] * 6
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["word", "n", "size", "key", "pivot"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                names=["word", "n", "size", "key", "start", "end"],
             )
 
     return run
@@ -140,16 +168,22 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     lengths = {row.gram: row["count"] for row in grams.groupBy("gram").count().collect()}
     index = freeze(
         vocabulary.select("word", "n").mapInArrow(
-            _index_rows(lengths), "word string, n bigint, size int, key string, pivot boolean"
+            _index_rows(lengths), "word string, n bigint, size int, key string, start string, end string"
         ),
         "gram-index",
     )
+    # Joined by a hash of key and length: what it confuses does not pass the verification.
     sizes = F.explode(F.array([F.col("size") + d for d in range(-EDITS, EDITS + 1)]))
-    asking = index.where("pivot").select(F.col("word").alias("a"), F.col("n").alias("a_n"), sizes.alias("size"), "key")
-    held = index.select(F.col("word").alias("b"), F.col("n").alias("b_n"), "size", "key")
+    asking = index.where("start IS NOT NULL").select("*", sizes.alias("_size")).select(
+        F.col("word").alias("a"), F.col("n").alias("a_n"), "start", "end", F.xxhash64("key", "_size").alias("key")
+    )
+    held = index.where("start IS NULL").select(
+        F.col("word").alias("b"), F.col("n").alias("b_n"), F.xxhash64("key", "size").alias("key")
+    )
     found = (
-        asking.join(held, ["key", "size"])
-        .where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS))
+        asking.join(held, "key")
+        .where(F.col("b").startswith(F.col("start")) & F.col("b").endswith(F.col("end")) & (F.col("a") != F.col("b")))
+        .where(F.levenshtein("a", "b", EDITS) == EDITS)
         .select("a", "a_n", "b", "b_n")
     )
     both = F.explode(F.array(

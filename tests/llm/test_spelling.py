@@ -76,6 +76,25 @@ def test_pivots_are_the_cheapest_disjoint_grams():
         assert chosen[0] + 2 <= chosen[1] and sum(price[p] for p in chosen) == best
 
 
+def test_every_near_word_stands_under_an_asked_key():
+    rnd = random.Random(9)
+    for _ in range(3000):
+        word = "".join(rnd.choice("abc") for _ in range(rnd.randint(5, 9)))
+        k, c = rnd.randrange(len(word)), rnd.choice("abcd")
+        other = rnd.choice([word[:k] + c + word[k:], word[:k] + word[k + 1 :], word[:k] + c + word[k + 1 :], word + c])
+        if len(other) < 5 or other == word:
+            continue
+        lengths = {x + y: rnd.randint(1, 50) for x in "abcd" for y in "abcd"}
+        met = False
+        for one, two in ((word, other), (other, word)):
+            held = spelling.held_keys(two, spelling.gram_prefix(two, lengths)[1])
+            met |= any(
+                key in held and two.startswith(start) and two.endswith(end)
+                for key, start, end in spelling.asked_keys(one, *spelling.gram_prefix(one, lengths)[0])
+            )
+        assert met
+
+
 def test_counts_are_handed_on_in_parts(docs_of, monkeypatch):
     rows = varied_texts(4, "abc")
     monkeypatch.setattr(spelling, "FLUSH", 10)
