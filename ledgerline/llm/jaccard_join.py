@@ -1,14 +1,14 @@
 """Documents linked by the Jaccard similarity of their word shingles, by T-occurrence search.
 
 1. Documents with equal shingle sets form a class; one node stands for it from here on.
-2. Two linked sets share at least ``need`` shingles, ``percent`` hundredths of either, so they
-   also share one of the ``size - need + 1`` first of each in any common order. A first
-   pass takes the order of the hashes and shuffles only these prefixes; nodes that share
-   none with another node have no partner and are done.
+2. Two linked sets share at least ``need`` shingles, ``percent`` hundredths of either, so among the
+   ``size - need + k`` first of each in any common order they share at least ``k``. A first
+   pass takes the order of the hashes and shuffles only these prefixes, a fifth of the shingles at 90 %; nodes with
+   fewer than ``k`` repeated shingles in them have no partner and are done.
 3. For the nodes that stay, all shingles are counted, and the common order becomes the
    one of inverted-list length, shortest first. Shingles of one node only cannot be
    shared; nodes with fewer than ``need`` others are done too.
-4. Every node has a home, the least shingle of its new prefix. Searches meet in homes: residents,
+4. Every node has a home, a shingle of its new prefix that related nodes choose too. Searches meet in homes: residents,
    in blocks of bounded size, are indexed by inverted lists, and visitors, in slices of
    bounded size, search them. A search heap-merges its short lists, skipping ahead
    where a document cannot reach the overlap any more, binary-probes the long ones for the documents
@@ -36,10 +36,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import words
 from ledgerline.llm.components import connected_components
-from ledgerline.workspace import freeze
+from ledgerline.workspace import freeze, release
 
-BLOCK = 64  # residents that are indexed together
+BLOCK = 256  # residents that are indexed together
+BLOCK_SHINGLES = 1 << 18  # and their shingles, but for a single longer set
 SLICE = 1024  # visitors that search an index in one task
+EXTRA = 10  # hundredths of a set by which the first pass lengthens its prefixes (k above)
+LENGTH_STEPS = 32  # steps in which list lengths are told apart, for each doubling
 PROBE_COST = 0.02  # weight of a binary probe against a step of the merge
 
 
@@ -57,6 +60,11 @@ def least_overlap(size: int | np.ndarray, percent: int):
     return -(-percent * size // 100)
 
 
+def extra_overlap(size):
+    """The ``k`` of a set of this size, as a number, an array or a column; larger sets have no smaller one."""
+    return (EXTRA * size + 100) // 100 if not isinstance(size, Column) else F.floor((size * EXTRA + 100) / 100)
+
+
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     ends = np.zeros(len(sizes) + 1, dtype=np.int32)
     np.cumsum(sizes, out=ends[1:])
@@ -76,7 +84,9 @@ def _sets(n: int, percent: int, *, whole: bool):
                 if len(some):
                     keys[0, some] = np.add.reduceat(words.mixed(values), bounds[:-1][some])
                     keys[1, some] = np.add.reduceat(words.mixed(values ^ np.uint64(0x2545F4914F6CDD1D)), bounds[:-1][some])
-                held = sizes if whole else np.where(sizes, sizes - least_overlap(sizes, percent) + 1, 0)
+                held = sizes
+                if not whole:
+                    held = np.minimum(sizes, sizes - least_overlap(sizes, percent) + extra_overlap(sizes))
                 if not whole and len(values):
                     inside = np.arange(len(values)) - np.repeat(bounds[:-1], sizes)
                     values = values[inside < np.repeat(held, sizes)]
@@ -210,39 +220,44 @@ def _part(column: str, count: Column) -> Column:
     return F.pmod(F.xxhash64(column, F.lit(11)), count).cast("int")
 
 
-def _meet(visits: DataFrame, nodes: DataFrame, *, percent: int, every_block: bool) -> DataFrame:
+def _upto(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), count.cast("int") - 1))
+
+
+def _meet(nodes: DataFrame, labels: DataFrame | None, visits: DataFrame | None, *, percent: int, every_block: bool) -> DataFrame:
     """Links (a, b) that visitors (node, home) find among the residents of the homes.
 
-    With ``every_block`` all residents are searched, otherwise one block of them for each home.
+    Without ``labels`` every node is a component, and without ``visits`` it visits its own home. With ``every_block`` all residents are searched,
+    otherwise one block of them for each home.
     """
-    visits = freeze(visits, "visits")
-    asked = visits.groupBy("home").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
-    homes = freeze(
-        nodes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).join(asked, "home"), "homes"
-    )
-    residents = nodes.select("node", "home").join(homes, "home")
-    residents = residents.withColumn("block", _part("node", F.col("blocks")))
-    visitors = visits.join(homes, "home").withColumn("slice", _part("node", F.col("slices")))
+    placed = nodes.withColumn("component", F.col("node")) if labels is None else nodes.join(labels, "node")
+    visitors = placed if visits is None else visits.join(placed.drop("home"), "node")
+    asked = (nodes if visits is None else visits).groupBy("home").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+    # A block is bounded in residents and, for long texts, in shingles.
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES))
+    homes = nodes.groupBy("home").agg(blocks.alias("blocks"), F.count("*").alias("n")).join(asked, "home")
+    homes = freeze(homes.where("n > 1" if visits is None else "n > 0"), "homes")
+    columns = ["home", "block", "slice", "node", "size", "component", "ranked", "resident"]
+    residents = placed.join(homes, "home").withColumn("block", _part("node", F.col("blocks")))
+    visitors = visitors.join(homes, "home").withColumn("slice", _part("node", F.col("slices")))
     if every_block:
-        blocks = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-        visitors = visitors.select("home", "node", blocks.alias("block"), "slice")
+        visitors = visitors.select("*", _upto(F.col("blocks")).alias("block"))
     else:
         residents = residents.where("block = 0")
-        visitors = visitors.select("home", "node", F.lit(0).alias("block"), "slice")
-    slices = F.explode(F.sequence(F.lit(0), F.col("slices").cast("int") - 1))
-    residents = residents.select("home", "node", "block", slices.alias("slice"), F.lit(True).alias("resident"))
-    seated = residents.unionByName(visitors.withColumn("resident", F.lit(False)))
-    filled = seated.join(nodes.select("node", "size", "ranked", "component"), "node")
-    return filled.groupBy("home", "block", "slice").applyInPandas(_meeting(percent), "a bigint, b bigint")
-
-
-def _merged(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Nodes with the components that the links (a, b) bring together."""
-    of = nodes.select("node", "component")
-    ends = links.join(of.toDF("a", "_a"), "a").join(of.toDF("b", "_b"), "b")
+        visitors = visitors.withColumn("block", F.lit(0))
+    residents = residents.select("*", _upto(F.col("slices")).alias("slice")).withColumn("resident", F.lit(True))
+    visitors = visitors.withColumn("resident", F.lit(False))
+    seated = residents.select(*columns).unionByName(visitors.select(*columns))
+    return seated.groupBy("home", "block", "slice").applyInPandas(_meeting(percent), "a bigint, b bigint")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, component) after the links (a, b) bring components together."""
+    links = freeze(links, "links")
+    ends = links.join(labels.toDF("a", "_a"), "a").join(labels.toDF("b", "_b"), "b")
     over = freeze(connected_components(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "components")
-    moved = nodes.join(over.toDF("component", "_over"), "component", "left")
-    return freeze(moved.select("node", "size", "home", "ranked", F.coalesce("_over", "component").alias("component")), "nodes")
+    moved = labels.join(over.toDF("component", "_over"), "component", "left")
+    return freeze(moved.select("node", F.coalesce("_over", "component").alias("component")), "labels")
 
 
 def jaccard_components(
@@ -267,20 +282,25 @@ def jaccard_components(
     """
     source = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     sketches = freeze(source.mapInArrow(_sets(shingle_words, percent, whole=False), _SET_COLUMNS), "prefixes")
-    usable = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("set_a", "set_b").agg(
+    listed = freeze(sketches.select("doc_id", "n_shingles", "set_a", "set_b"), "listed")
+    classes = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("shingles").alias("prefix")
     )
     # Numbered once, in a stored table: ids may repeat with different texts.
-    classes = freeze(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    prefixes = freeze(classes.withColumn("node", F.monotonically_increasing_id()), "class-prefixes")
+    classes = freeze(prefixes.drop("prefix"), "classes")
+    release(sketches)
 
-    firsts = classes.select("node", F.explode("prefix").alias("shingle"))
+    # Tables of shingles grow with the input and are joined by sorting at every size.
+    firsts = prefixes.select("node", "size", F.explode("prefix").alias("shingle"))
     repeated = firsts.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    able = freeze(firsts.join(repeated, "shingle", "left_semi").select("node").distinct(), "able")
-    wanted = freeze(
-        classes.join(able, "node", "left_semi").select(F.col("rep").alias("doc_id"), "set_a", "set_b", "node", "size"), "wanted"
-    )
-    texts = source.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    # A partner has at least ``need`` shingles and a k to match.
+    need = F.ceil(F.col("size") * percent / 100)
+    enough = F.least(extra_overlap(need), need)
+    able = firsts.join(repeated.hint("merge"), "shingle").groupBy("node", "size").count().where(F.col("count") >= enough)
+    wanted = freeze(classes.join(able.select("node"), "node").withColumnRenamed("rep", "doc_id"), "wanted")
+    release(prefixes)
+    texts = source.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     full = texts.mapInArrow(_sets(shingle_words, percent, whole=True), _SET_COLUMNS)
     sets = freeze(
         full.join(wanted, ["doc_id", "set_a", "set_b"]).select("node", "size", "shingles").dropDuplicates(["node"]), "sets"
@@ -288,37 +308,30 @@ def jaccard_components(
 
     postings = sets.select("node", "size", F.explode("shingles").alias("shingle"))
     lists = postings.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1")
-    need = F.ceil(F.col("size") * percent / 100)
     ranked = (
-        postings.join(freeze(lists, "lists"), "shingle")
-        .groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("length", "shingle"))).alias("_r"))
-        .select("node", "size", F.col("_r.shingle").alias("ranked"))
+        postings.join(lists.hint("merge"), "shingle").groupBy("node", "size")
+        .agg(F.sort_array(F.collect_list(_ranked(F.col("length"), F.col("shingle")))).alias("ranked"))
         .withColumn("_prefix", F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - need + 1, F.lit(0)).cast("int")))
         .where(F.size("_prefix") > 0)
     )
-    # The home is the least hash of the prefix: edits rarely take it away.
-    nodes = freeze(
-        ranked.select("node", "size", F.array_min("_prefix").alias("home"), "ranked", F.col("node").alias("component")), "nodes"
-    )
+    nodes = freeze(ranked.select("node", "size", _home(F.col("_prefix")).alias("home"), "ranked"), "nodes")
+    release(sets)
     keys = F.slice("ranked", F.lit(1), (F.size("ranked") - need + 1).cast("int"))
     held = freeze(nodes.select("node", "size", "home", F.explode(keys).alias("key")), "held")
+    labels = nodes.select("node", F.col("node").alias("component"))
 
     def undecided() -> DataFrame:
         """Prefix shingles (key, node, size, home, component) of keys that hold several components."""
-        placed = held.join(nodes.select("node", "component"), "node")
+        placed = held.join(labels, "node")
         mixed = placed.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
         return freeze(placed.join(mixed.where("_low < _high").select("key"), "key", "left_semi"), "undecided")
 
-    crowded = nodes.groupBy("home").agg(F.count("*").alias("n")).where("n > 1").select("home")
-    visits = nodes.select("node", "home").join(crowded, "home", "left_semi")
-    nodes = _merged(nodes, freeze(_meet(visits, nodes, percent=percent, every_block=False), "links"))
+    labels = _merged(labels, _meet(nodes, None, None, percent=percent, every_block=False))
 
     apart = undecided()
-    leaders = apart.groupBy("key").agg(
-        F.min_by(F.struct("home", "component"), F.xxhash64("node", "key")).alias("leader")
-    )
+    leaders = apart.groupBy("key").agg(F.min_by(F.struct("home", "component"), F.xxhash64("node", "key")).alias("leader"))
     visits = apart.join(leaders, "key").where("component <> leader.component").select("node", "leader.home").distinct()
-    nodes = _merged(nodes, freeze(_meet(visits, nodes, percent=percent, every_block=False), "links"))
+    labels = _merged(labels, _meet(nodes, labels, freeze(visits, "visits"), percent=percent, every_block=False))
 
     apart = undecided()
     places = apart.groupBy("key", "home").agg(
@@ -327,18 +340,41 @@ def jaccard_components(
     )
     fits = (F.col("size") * percent <= F.col("_most") * 100) & (F.col("_least") * percent <= F.col("size") * 100)
     other = (F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))
-    visits = apart.select("key", "node", "size", "component").join(places, "key").where(fits & other)
-    visits = visits.select("node", "home").distinct()
-    nodes = _merged(nodes, freeze(_meet(visits, nodes, percent=percent, every_block=True), "links"))
+    # Of two homes it is enough that the nodes of one visit the other.
+    visits = (
+        apart.select("key", "node", "size", "component", F.col("home").alias("_own")).join(places, "key")
+        .where(fits & other & (F.col("_own") >= F.col("home"))).select("node", "home").distinct()
+    )
+    labels = _merged(labels, _meet(nodes, labels, freeze(visits, "visits"), percent=percent, every_block=True))
 
-    ends = classes.join(nodes.select("node", "component"), "node").select("set_a", "set_b", "rep", "component")
+    ends = classes.join(labels, "node").select("set_a", "set_b", "rep", "component")
     names = ends.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = freeze(ends.join(names, "component").select("set_a", "set_b", "component_id"), "names")
     whole = classes.select("set_a", "set_b", "rep").join(named, ["set_a", "set_b"], "left")
     whole = whole.select("set_a", "set_b", F.coalesce("component_id", "rep").alias("_component"))
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("_component")).otherwise(F.col("doc_id"))
-    return (
-        sketches.select("doc_id", "n_shingles", "set_a", "set_b")
-        .join(whole, ["set_a", "set_b"], "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-    )
+    return listed.join(whole, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def _ranked(length: Column, shingle: Column) -> Column:
+    """A shingle as one number whose order is that of list lengths: 11 bits for the length, 52 of the hash.
+
+    52 bits tell the shingles of two documents apart as well as 64 do; equal numbers of strangers only make them meet.
+    """
+    steps = F.floor(F.log2(length.cast("double")) * LENGTH_STEPS).cast("bigint")
+    return F.shiftleft(steps, 52).bitwiseOR(F.shiftrightunsigned(shingle, 12))
+
+
+def _home(prefix: Column) -> Column:
+    """One shingle of a prefix.
+
+    The least of exponential numbers drawn for each shingle at the rate of its list's length: related sets choose
+    the same one mostly, and shared shingles win over chance ones.
+    """
+
+    def drawn(entry: Column) -> Column:
+        uniform = (F.shiftrightunsigned(F.xxhash64(entry), 12) + 0.5) / 2.0**52
+        length = F.pow(F.lit(2.0), F.shiftright(entry, 52) / LENGTH_STEPS)
+        return F.struct((-F.log(uniform) / length).alias("draw"), entry.alias("shingle"))
+
+    return F.array_min(F.transform(prefix, drawn))["shingle"]
