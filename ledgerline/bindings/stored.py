@@ -80,6 +80,46 @@ def scan_csv_explicit_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, path, schema, null_token="")
 
 
+# Columns that look like numbers or dates and are not, next to those that are.
+@query(
+    "scan_csv_inferred",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_day, o_orderdate AS order_moment,
+        o_orderpriority, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS padded_key, 1234567890000000 + o_orderkey AS long_key,
+        CAST(o_orderkey AS VARCHAR) || '00000000000000000000' AS longer_key, o_orderstatus = 'F' AS is_final,
+        CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 0.5 ELSE CAST(o_custkey AS DOUBLE) END AS one_fraction,
+        CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS one_word,
+        CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN '2024-02-30'
+            ELSE strftime(o_orderdate, '%Y-%m-%d') END AS one_bad_day,
+        CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_custkey END AS with_gaps, CAST(NULL AS VARCHAR) AS no_cells
+    FROM orders
+    """,
+)
+def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    last = F.col("o_orderkey") == orders.agg(F.max("o_orderkey")).scalar()
+    customer = F.col("o_custkey").cast("string")
+    moment = F.col("o_orderdate")
+    written = orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.date_format(moment, "M/d/yyyy").alias("order_day"),
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss").alias("order_moment"),
+        "o_orderpriority",
+        F.lpad(customer, 9, "0").alias("padded_key"),
+        (F.lit(1234567890000000) + F.col("o_orderkey")).alias("long_key"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit("0" * 20)).alias("longer_key"),
+        (F.col("o_orderstatus") == "F").alias("is_final"),
+        F.when(last, "0.5").otherwise(customer).alias("one_fraction"),
+        F.when(last, "n/a").otherwise(customer).alias("one_word"),
+        F.when(last, "2024-02-30").otherwise(F.date_format(moment, "yyyy-MM-dd")).alias("one_bad_day"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("with_gaps"),
+        F.lit(None).cast("string").alias("no_cells"),
+    )
+    path = fresh_path(spark, "orders-inferred")
+    sources.write_csv(written, path)
+    return sources.read_csv_inferred(spark, path)
+
+
 @query("scan_parquet", ORDERS_SQL)
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_parquet(spark, f"{sf_dir}/orders.parquet")

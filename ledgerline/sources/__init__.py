@@ -7,6 +7,7 @@ from ledgerline.sources.catalog import (
     replace_table,
     run_query,
 )
+from ledgerline.sources.inference import infer_csv, read_csv_as_text, read_csv_inferred
 from ledgerline.sources.readers import read_csv, read_parquet
 from ledgerline.sources.transfer import (
     copy_csv,
@@ -21,9 +22,12 @@ __all__ = [
     "copy_csv",
     "declare_table",
     "file_metadata",
+    "infer_csv",
     "inline_table",
     "insert_rows",
     "read_csv",
+    "read_csv_as_text",
+    "read_csv_inferred",
     "read_parquet",
     "read_table",
     "read_text_cells",
