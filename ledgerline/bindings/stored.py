@@ -335,11 +335,34 @@ def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recreate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     name, path = "ledger_customer_loaded", fresh_path(spark, "customer-loaded")
-    for rows in (customer.where("c_acctbal < 0").withColumn("c_name", F.lit("old")), customer):
+    for rows in (customer.where("c_acctbal < 0").withColumn("c_name", F.lit("old")), customer, customer):
         sources.replace_table(rows, name, path)
+    sources.drop_old_loads(spark, name, path)
     return sources.read_table(spark, name)
 
 
+# A first load of what is known early, then a later delivery that overlaps it, delivered twice.
+@query(
+    "merge_customers",
+    """
+    SELECT c_custkey, c_name, c_nationkey,
+        CASE WHEN c_nationkey < 15 THEN c_acctbal ELSE 0.0 END AS c_acctbal, c_mktsegment,
+        CAST(2 AS BIGINT) AS n_versions
+    FROM customer WHERE (c_acctbal >= 0 OR c_nationkey < 15) AND NOT (c_nationkey < 15 AND c_mktsegment = 'MACHINERY')
+    """,
+)
+def merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    path = fresh_path(spark, "customer-versions")
+    early = customer.where("c_acctbal >= 0").withColumn("c_acctbal", F.lit(0.0))
+    sources.create_versioned(early, path, ["c_custkey"], buckets=16)
+    later = customer.where("c_nationkey < 15").withColumn("closed", F.col("c_mktsegment") == "MACHINERY")
+    for _ in range(2):
+        sources.merge_rows(later, path, deleted="closed")
+    n_versions = F.lit(len(sources.versions(spark, path))).cast("bigint").alias("n_versions")
+    return sources.read_versioned(spark, path).select("*", n_versions)
+
+
 @query("distinct_values", "SELECT DISTINCT p_type FROM part")
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.distinct_values(table(spark, sf_dir, "part"), "p_type")

@@ -1,5 +1,6 @@
 from ledgerline.sources.catalog import (
     declare_table,
+    drop_old_loads,
     insert_rows,
     inline_table,
     read_table,
@@ -16,26 +17,43 @@ from ledgerline.sources.transfer import (
     row_differences,
     verify_copy,
 )
+from ledgerline.sources.versioned import (
+    VersionConflict,
+    create_versioned,
+    forget_versions,
+    merge_rows,
+    read_versioned,
+    version_of,
+    versions,
+)
 from ledgerline.sources.writers import write_csv, write_parquet
 
 __all__ = [
+    "VersionConflict",
     "copy_csv",
+    "create_versioned",
     "declare_table",
+    "drop_old_loads",
     "file_metadata",
+    "forget_versions",
     "infer_csv",
     "inline_table",
     "insert_rows",
+    "merge_rows",
     "read_csv",
     "read_csv_as_text",
     "read_csv_inferred",
     "read_parquet",
     "read_table",
     "read_text_cells",
+    "read_versioned",
     "register_view",
     "replace_table",
     "row_differences",
     "run_query",
     "verify_copy",
+    "version_of",
+    "versions",
     "write_csv",
     "write_parquet",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -102,9 +103,41 @@ def insert_rows(df: DataFrame, name: str, *, overwrite: bool = False) -> DataFra
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Drop, create and load a table in one step; running it again changes nothing.
+    """Load a table anew; running it again changes nothing.
 
-    ``df`` must not read from ``path``.
+    The rows are written to a new folder below ``path`` first, and the table is pointed there
+    when they are complete. A load that fails leaves the table and its old rows as they are, and ``df`` may read the
+    table that it replaces. With the same columns the swap is one change of the table's location; with other columns
+    a complete table takes the place of the old one. Earlier folders stay until ``drop_old_loads``.
     """
-    declare_table(df.sparkSession, name, df.schema, path)
-    return insert_rows(df, name, overwrite=True)
+    spark = df.sparkSession
+    place = f"{path.rstrip('/')}/load-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    same = spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema] == [
+        (f.name, f.dataType) for f in df.schema
+    ]
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(name)
+    else:
+        loaded = f"{name}_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {loaded} ({columns}) USING parquet LOCATION '{place}'")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {loaded} RENAME TO {name}")
+    return spark.table(name)
+
+
+def drop_old_loads(spark: SparkSession, name: str, path: str) -> int:
+    """Delete the folders of earlier and failed loads below ``path``; how many there were.
+
+    Call it when no plan that reads an earlier load will run again and no load is running.
+    """
+    current = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    loads = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("load-")]
+    gone = [load for load in loads if load.getName() != current.rstrip("/").rsplit("/", 1)[-1]]
+    for load in gone:
+        files.delete(load, True)
+    return len(gone)
