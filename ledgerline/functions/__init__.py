@@ -1,3 +1,4 @@
+from ledgerline.functions.hashes import row_hash
 from ledgerline.functions.labels import banded, two_way_label, value_within
 from ledgerline.functions.money import (
     as_money,
@@ -6,6 +7,7 @@ from ledgerline.functions.money import (
     raised_by,
     share_of,
     units,
+    units_deviation,
     units_mean,
     units_total,
 )
@@ -20,9 +22,11 @@ __all__ = [
     "month_text",
     "parsed_date",
     "raised_by",
+    "row_hash",
     "share_of",
     "two_way_label",
     "units",
+    "units_deviation",
     "units_mean",
     "units_total",
     "value_within",

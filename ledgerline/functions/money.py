@@ -22,6 +22,7 @@ from pyspark.sql.types import DecimalType
 ColumnOrName = Column | str
 
 _HALF = 20  # bits of the lower half: 2**43 rows of any amount fit its total
+_LIMB = 27  # bits of the lower limb of a number that is squared
 _WIDE = DecimalType(38, 0)
 
 
@@ -77,6 +78,52 @@ def units_mean(value: ColumnOrName, scale: int | None = None) -> Column:
     return exact_total(whole).cast("double") / F.count(whole) / F.lit(float(10**scale))
 
 
+def exact_squares(whole: ColumnOrName) -> Column:
+    """Aggregate: total of the squares of a bigint column as ``decimal(38,0)``; null without values.
+
+    A number below 2**53 in size is split into two limbs. Each of the limbs' three products, below
+    2**55, is summed in three parts of 20 bits, which fit for 2**43 rows, so the result is exact whatever the order of
+    rows and partitions. A total beyond 38 digits raises.
+    """
+    number = _column(whole)
+    high = F.shiftright(number, _LIMB)
+    low = number.bitwiseAND(F.lit(2**_LIMB - 1).cast("bigint"))
+
+    def total(product: Column, bits: int) -> Column:
+        mask = F.lit(2**_HALF - 1).cast("bigint")
+        parts = [product.bitwiseAND(mask), F.shiftright(product, _HALF).bitwiseAND(mask), F.shiftright(product, 2 * _HALF)]
+        weighted = [
+            F.try_multiply(F.try_sum(part).cast(_WIDE), F.lit(str(2 ** (bits + i * _HALF))).cast(_WIDE))
+            for i, part in enumerate(parts)
+        ]
+        return F.try_add(F.try_add(weighted[0], weighted[1]), weighted[2])
+
+    squares = F.try_add(F.try_add(total(high * high, 2 * _LIMB), total(high * low, _LIMB + 1)), total(low * low, 0))
+    too_large = F.raise_error(F.lit("a total leaves its range")).cast(_WIDE)
+    return F.when(F.count(number) > 0, F.coalesce(squares.cast(_WIDE), too_large))
+
+
+def units_deviation(value: ColumnOrName, scale: int) -> Column:
+    """Aggregate: sample standard deviation of an amount column with ``scale`` stored digits; null below two values.
+
+    Worked out from the exact totals of units and of their squares: the sum of squared distances from the
+    whole part of the mean is exact, and only the last division and the root are rounded. So it is the same bit
+    for bit on every run and under any partitioning.
+    """
+    whole = units(value, scale)
+    n = F.count(whole)
+    total, squares = exact_total(whole), exact_squares(whole)
+    count = n.cast(DecimalType(18, 0))
+    middle = F.call_function("div", total, F.when(n > 0, count)).cast(DecimalType(18, 0))
+    rest = (total - (middle * count).cast(_WIDE)).cast(DecimalType(18, 0))
+    spread = (squares - (middle * F.lit(2).cast(DecimalType(1, 0)) * total).cast(_WIDE) + (middle * middle * count).cast(_WIDE)).cast(_WIDE)
+    # n * spread - rest**2 is exact while it has 38 digits; beyond, the second term is far below rounding.
+    exact = F.try_multiply(spread, count.cast(_WIDE)) - (rest * rest).cast(_WIDE)
+    about = spread.cast("double") * n - rest.cast("double") * rest.cast("double")
+    variance = F.coalesce(exact.cast("double"), about) / n / (n - 1)
+    return F.when(n > 1, F.sqrt(variance) / F.lit(float(10**scale)))
+
+
 def as_money(value: ColumnOrName, precision: int = 20, scale: int = 6) -> Column:
     """Amount as a decimal, for row-level products that are rounded afterwards."""
     return _column(value).cast(DecimalType(precision, scale))

@@ -13,6 +13,7 @@ from ledgerline.sources.readers import read_csv, read_parquet
 from ledgerline.sources.transfer import (
     copy_csv,
     file_metadata,
+    fingerprints,
     read_text_cells,
     row_differences,
     verify_copy,
@@ -35,6 +36,7 @@ __all__ = [
     "declare_table",
     "drop_old_loads",
     "file_metadata",
+    "fingerprints",
     "forget_versions",
     "infer_csv",
     "inline_table",

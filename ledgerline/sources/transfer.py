@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerline.functions.hashes import row_hash
 from ledgerline.sources.writers import write_csv
 
 
 # Stands for a quoted empty cell while a file is read (two private-use characters).
 _EMPTY = "\ue000\ue001"
 
+FINGERPRINT_BUCKETS = 4096  # groups of rows that are told apart before rows are
+
 
 def file_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Name, size and modification time of every file below ``path``.
@@ -69,34 +72,87 @@ def copy_csv(
     write_csv(cells, target, encoding=encoding)
 
 
-def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows whose number of copies differs, with the surplus on the left side.
+def _comparable(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the left one's columns, in the types that a union of them has."""
+    columns = [f"`{c}`" for c in left.columns]
+    types = left.limit(0).unionByName(right.select(*columns).limit(0)).schema
+    return tuple(side.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in types]) for side in (left, right))
+
 
-    Both sides go through one grouping with map-side combining, so a row that
-    occurs very often reaches the shuffle once per task.
+def fingerprints(df: DataFrame, *, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """Order-free fingerprints of the rows: ``bucket, n, a_high, a_low, b_high, b_low``.
+
+    Rows are dealt by a hash of all their cells; a bucket has the number of its rows and the sums of two independent
+    64-bit hashes, kept in halves so that no sum leaves 64 bits below two billion rows a bucket. Equal
+    multisets of rows have equal fingerprints, whatever their order, files and partitions, and fingerprints of
+    parts add up. No more than ``buckets`` rows leave a task.
     """
-    columns = left.columns
-    signed = left.withColumn("surplus", F.lit(1)).unionByName(
-        right.select(*columns).withColumn("surplus", F.lit(-1))
+    hashed = df.select(row_hash(df.schema, 1).alias("_a"), row_hash(df.schema, 2).alias("_b"))
+    dealt = hashed.withColumn("bucket", F.pmod(F.xxhash64("_a"), F.lit(buckets)).cast("int"))
+    return dealt.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        *[
+            F.sum(part).alias(f"{name}_{half}")
+            for name in ("a", "b")
+            for half, part in (
+                ("high", F.shiftrightunsigned(f"_{name}", 32)),
+                ("low", F.col(f"_{name}").bitwiseAND(0xFFFFFFFF)),
+            )
+        ],
     )
+
+
+def _compared(left: DataFrame, right: DataFrame, buckets: int) -> tuple[int, int, list[int]]:
+    """Rows on each side and the buckets whose fingerprints differ; one small row for each bucket comes here."""
+    sides = fingerprints(left, buckets=buckets).withColumn("_side", F.lit(0)).unionByName(
+        fingerprints(right, buckets=buckets).withColumn("_side", F.lit(1))
+    )
+    found: tuple[dict, dict] = ({}, {})
+    for row in sides.collect():
+        found[row["_side"]][row["bucket"]] = tuple(row)[1:-1]
+    here, there = found
     return (
-        signed.groupBy(*columns)
-        .agg(F.sum("surplus").alias("surplus"))
-        .where(F.col("surplus") != 0)
+        sum(row[0] for row in here.values()),
+        sum(row[0] for row in there.values()),
+        sorted(b for b in here.keys() | there.keys() if here.get(b) != there.get(b)),
     )
 
 
-def verify_copy(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row: rows on each side and distinct rows that differ (0 if equal)."""
-    columns = source.columns
-    sides = source.withColumn("_here", F.lit(1)).withColumn("_there", F.lit(0)).unionByName(
-        target.select(*columns).withColumn("_here", F.lit(0)).withColumn("_there", F.lit(1))
+def _surplus(left: DataFrame, right: DataFrame, buckets: int, differing: list[int]) -> DataFrame:
+    """Rows of these buckets whose number of copies differs, with the surplus on the left side."""
+    within = F.pmod(F.xxhash64(row_hash(left.schema, 1)), F.lit(buckets)).cast("int").isin(differing)
+    signed = left.where(within).withColumn("surplus", F.lit(1)).unionByName(
+        right.where(within).withColumn("surplus", F.lit(-1))
     )
-    per_row = sides.groupBy(*columns).agg(
-        F.sum("_here").alias("_here"), F.sum("_there").alias("_there")
-    )
-    return per_row.agg(
-        F.coalesce(F.sum("_here"), F.lit(0)).alias("source_rows"),
-        F.coalesce(F.sum("_there"), F.lit(0)).alias("target_rows"),
-        F.count_if(F.col("_here") != F.col("_there")).alias("rows_that_differ"),
+    return (
+        signed.groupBy(*[f"`{c}`" for c in left.columns])
+        .agg(F.sum("surplus").alias("surplus"))
+        .where(F.col("surplus") != 0)
     )
+
+
+def row_differences(left: DataFrame, right: DataFrame, *, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """Rows whose number of copies differs, with the surplus on the left side.
+
+    Fingerprints of both sides are compared at once; only rows of buckets that differ are grouped, with
+    map-side combining, so a row that occurs very often reaches the shuffle once per task.
+    """
+    left, right = _comparable(left, right)
+    _, _, differing = _compared(left, right, buckets)
+    return _surplus(left, right, buckets, differing)
+
+
+def verify_copy(source: DataFrame, target: DataFrame, *, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """One row: rows on each side and distinct rows that differ (0 if equal).
+
+    Equal sides exchange nothing but fingerprints, a bounded number of rows for each task; where
+    buckets differ, the rows of these alone are grouped. Different rows go unseen only if the sums of two
+    independent hashes agree by chance. Both sides are read when this is called.
+    """
+    source, target = _comparable(source, target)
+    here, there, differing = _compared(source, target, buckets)
+    counts = [F.lit(here).cast("bigint").alias("source_rows"), F.lit(there).cast("bigint").alias("target_rows")]
+    if not differing:
+        return source.sparkSession.range(1).select(*counts, F.lit(0).cast("bigint").alias("rows_that_differ"))
+    surplus = _surplus(source, target, buckets, differing)
+    return surplus.agg(F.count("*").alias("rows_that_differ")).select(*counts, "rows_that_differ")
