@@ -100,6 +100,31 @@ def agg_overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.statistics(table(spark, sf_dir, "lineitem"), measures, scales={price: 2, quantity: 2})
 
 
+# The deviation from whole cents: the same on every run, however the rows are dealt.
+@query(
+    "agg_exact_deviation",
+    f"""
+    SELECT l_returnflag, l_linestatus, count(c) AS n_prices, CAST(sum(c) AS DOUBLE) / count(c) / 100.0 AS mean_price,
+        sqrt(CAST(count(c) * sum(CAST(c AS HUGEINT) * c) - sum(CAST(c AS HUGEINT)) * sum(CAST(c AS HUGEINT)) AS DOUBLE)
+            / count(c) / (count(c) - 1)) / 100.0 AS price_deviation,
+        sqrt(CAST(count(q) * sum(CAST(q AS HUGEINT) * q) - sum(CAST(q AS HUGEINT)) * sum(CAST(q AS HUGEINT)) AS DOUBLE)
+            / count(q) / (count(q) - 1)) AS quantity_deviation
+    FROM (SELECT *, {cents_sql("l_extendedprice")} AS c, CAST(l_quantity AS BIGINT) AS q FROM lineitem)
+    GROUP BY 1, 2
+    """,
+)
+def agg_exact_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price, quantity = "l_extendedprice", "l_quantity"
+    measures = {
+        "n_prices": ("count", price),
+        "mean_price": ("mean", price),
+        "price_deviation": ("exact_stddev", price),
+        "quantity_deviation": ("exact_stddev", quantity),
+    }
+    lineitem = table(spark, sf_dir, "lineitem")
+    return aggregates.statistics(lineitem, measures, ["l_returnflag", "l_linestatus"], scales={price: 2, quantity: 0})
+
+
 def _orders_by_place(spark: SparkSession, sf_dir: str, group_by: Sequence[str]) -> DataFrame:
     """Order value and count per buyer attribute, reduced to one row per buyer first."""
     measures = {"total_units": ("total", units("o_totalprice", 2)), "n": ("count", None)}

@@ -15,6 +15,12 @@ def dedup_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.drop_duplicate_rows(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@query("dedup_by_locator", "SELECT DISTINCT text, lang FROM documents")
+def dedup_by_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return cleaning.drop_duplicates_by_locator(documents, ["text", "lang"]).select("text", "lang")
+
+
 @query(
     "dedup_report",
     """

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import exact_total, from_units, units, units_mean, units_total
+from ledgerline.functions import exact_total, from_units, units, units_deviation, units_mean, units_total
 
 
 def mean_of(df: DataFrame, value: str, name: str, scale: int | None = None) -> DataFrame:
@@ -57,6 +57,7 @@ _STATISTICS = {
     "min": lambda column, scale: F.min(column),
     "max": lambda column, scale: F.max(column),
     "stddev": lambda column, scale: F.stddev(column),
+    "exact_stddev": units_deviation,
 }
 
 

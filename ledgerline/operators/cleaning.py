@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from ledgerline.functions import parsed_date, value_within
+from ledgerline.functions import parsed_date, row_hash, value_within
 from ledgerline.functions.times import ISO_DATE
+from ledgerline.workspace import freeze
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -18,6 +19,33 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def drop_duplicates_by_locator(scan: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One copy of every row of a file scan, without shuffling rows that have no copy for it.
+
+    First only 128-bit digests are exchanged, to find those that occur twice or more. Rows of these are then grouped
+    as whole rows, which confirms that they are equal, and keep the smallest locator; copies are combined in
+    the map tasks, so a row that is a third of the table is no large group. All other rows pass from the scan. Repeated
+    digests reach the rows by a broadcast where Spark finds them few, otherwise by a join.
+
+    ``scan`` is a Parquet scan, possibly filtered, read three times. The result has its columns (or ``columns``) and the
+    locator of the kept copy: ``file_path`` and ``row_index``.
+    """
+    columns = list(columns or scan.columns)
+    schema = scan.select(*[f"`{c}`" for c in columns]).schema
+    digests = [row_hash(schema, 1).alias("_a"), row_hash(schema, 2).alias("_b")]
+    # The parts of a locator order copies; other than that they are not looked at.
+    locator = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")]
+    located = scan.select(*[F.col(f"`{c}`") for c in columns], *locator, *digests)
+    repeated = freeze(
+        scan.select(*digests).groupBy("_a", "_b").agg(F.count("*").alias("_n")).where("_n > 1").select("_a", "_b"),
+        "repeated-digests",
+    )
+    names = [f"`{c}`" for c in columns]
+    singles = located.join(repeated, ["_a", "_b"], "left_anti").select(*names, "file_path", "row_index")
+    equal = located.join(repeated, ["_a", "_b"]).groupBy(*names).agg(F.min(F.struct("file_path", "row_index")).alias("_at"))
+    return singles.unionByName(equal.select(*names, "_at.file_path", "_at.row_index"))
+
+
 def duplicate_report(df: DataFrame) -> DataFrame:
     """One row: rows before, rows after and copies removed, in a single pass."""
     copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))

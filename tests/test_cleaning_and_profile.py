@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import math
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerline.operators import cleaning, profile, shaping, transforms
 from ledgerline.operators.ordering import SortKey, ascending, descending, ordered, top_k
 
@@ -139,3 +142,49 @@ def test_whole_part_truncates_and_does_not_overflow(spark):
 def test_rounding_in_place(spark):
     df = spark.createDataFrame([(2.5,), (-2.5,), (1.25,)], "x double")
     assert [r[0] for r in transforms.add_rounded(df, "x", "x").collect()] == [3.0, -3.0, 1.0]
+
+
+@pytest.fixture
+def copies(spark, tmp_path):
+    df = spark.range(4000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('t', id % 1500)) AS text", "IF(id % 3 = 0, NULL, id % 2) AS n",
+        "CASE WHEN id % 3 = 0 THEN 0.0 WHEN id % 5 = 0 THEN double('NaN') WHEN id % 7 = 0 THEN -0.0 ELSE 0.0 END AS x", "id",
+    )
+    df.repartition(6).write.parquet(str(tmp_path / "t"))
+    return spark.read.parquet(str(tmp_path / "t"))
+
+
+def test_locator_dedup_equals_full_row_dedup(copies):
+    columns = ["text", "n", "x"]
+    found = cleaning.drop_duplicates_by_locator(copies, columns)
+    plain = cleaning.drop_duplicate_rows(copies.select(*columns))
+    assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, plain.collect()))
+    # The locator is that of a row with these values, the smallest one.
+    places = copies.select("*", "_metadata.file_path", "_metadata.row_index").groupBy(*columns).agg(
+        F.min(F.struct("file_path", "row_index")).alias("at")
+    )
+    expected = {(r.at.file_path, r.at.row_index) for r in places.collect()}
+    assert {(r.file_path, r.row_index) for r in found.collect()} == expected
+
+
+def test_locator_dedup_tells_rows_with_equal_digests_apart(copies, monkeypatch):
+    monkeypatch.setattr(cleaning, "row_hash", lambda schema, salt: F.lit(salt).cast("bigint"))
+    found = cleaning.drop_duplicates_by_locator(copies, ["text", "n"])
+    assert found.count() == copies.select("text", "n").distinct().count()
+
+
+def test_locator_dedup_of_filtered_and_empty_scans(copies):
+    assert cleaning.drop_duplicates_by_locator(copies.where("id < 0")).count() == 0
+    assert cleaning.drop_duplicates_by_locator(copies.where("id < 30"), ["text"]).count() == 21
+    assert cleaning.drop_duplicates_by_locator(copies).count() == 4000
+
+
+def test_digest_exchange_has_no_text(copies, plan_of, monkeypatch):
+    plans = []
+    monkeypatch.setattr(cleaning, "freeze", lambda df, label: plans.append(plan_of(df)) or df)
+    cleaning.drop_duplicates_by_locator(copies, ["text", "n"])
+    (plan,) = plans
+    exchange = next(line for line in plan.splitlines() if "Exchange" in line)
+    assert "hashpartitioning(_a" in exchange and plan.count("Exchange") == 1
+    above_scan = plan[: plan.index("Project")].replace(exchange, "")
+    assert "text" not in above_scan

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from fractions import Fraction
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -95,3 +97,43 @@ def test_shares_use_all_stored_digits(spark):
     df = spark.createDataFrame([(100.049,), (1.005,)], "x double")
     assert [r[0] for r in df.select(fn.share_of("x", "0.10")).collect()] == [10.0, 0.1]
     assert [r[0] for r in df.select(fn.raised_by("x", "0.10")).collect()] == [110.05, 1.11]
+
+
+def deviation_of(values, scale):
+    whole = [round(v * 10**scale) for v in values]
+    n = len(whole)
+    return (Fraction(n * sum(x * x for x in whole) - sum(whole) ** 2, n * (n - 1)) ** 0.5) / 10**scale
+
+
+@pytest.mark.parametrize(
+    ("values", "scale"),
+    [
+        ([0.1, 0.2, 0.3, 104949.99, -0.01] * 40, 2),
+        ([1e13 + k / 8 for k in (0, 8, 16, 24)], 0),  # large and close together: doubles would cancel
+        ([-9007199254740.99, 9007199254740.99, 0.0], 2),
+        ([-1.5, -1.5, -1.5], 1),
+        ([0.0] * 999 + [1.0], 0),
+    ],
+)
+def test_deviation_is_exact(spark, values, scale):
+    found = spark.createDataFrame([(v,) for v in values], "x double").agg(fn.units_deviation("x", scale)).first()[0]
+    assert found == pytest.approx(deviation_of(values, scale), rel=1e-14, abs=0)
+
+
+def test_deviation_does_not_depend_on_partitions(spark):
+    df = spark.range(20_000).selectExpr("(id * 7919 % 1000003) / 100 AS x", "id % 3 AS g")
+    found = {
+        tuple(sorted(map(tuple, df.repartition(k, "x").groupBy("g").agg(fn.units_deviation("x", 2)).collect()))) for k in (1, 3, 17)
+    }
+    assert len(found) == 1
+
+
+def test_deviation_of_few_values_and_gaps(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, None), (2, None), (3, 1.0), (3, float("nan")), (3, 2.0)], "g int, x double")
+    assert dict(map(tuple, df.groupBy("g").agg(fn.units_deviation("x", 0)).collect())) == {1: None, 2: None, 3: 0.5**0.5}
+
+
+def test_squares_of_many_large_numbers_stay_exact(spark):
+    largest = 2**53 - 1
+    df = spark.range(1000).selectExpr(f"IF(id % 2 = 0, {largest}, -{largest}) AS x")
+    assert int(df.agg(fn.money.exact_squares("x")).first()[0]) == 1000 * largest**2
