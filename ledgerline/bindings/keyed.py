@@ -9,6 +9,7 @@ from ledgerline.bindings.registry import query
 from ledgerline.bindings.tables import SALES_SQL, cents_sql, dollars_sql, sales, table
 from ledgerline.functions import from_units, units
 from ledgerline.operators import layout, normalise, quality
+from ledgerline.workspace import fresh_path
 
 FACT_COLUMNS = [
     "l_orderkey",
@@ -118,3 +119,40 @@ def repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_partitions") <= spread).alias("within_spread"),
         from_units("total_units", 2).alias("total_sales"),
     )
+
+
+# Line items and orders are stored by order once; the three questions below then read them without an exchange.
+@query(
+    "bucketed_groupings",
+    """
+    SELECT o_orderkey, o_custkey, n_lines, total_quantity, n_returned, last_shipped
+    FROM orders
+    JOIN (SELECT l_orderkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity
+          FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
+    JOIN (SELECT l_orderkey AS k, CAST(count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS BIGINT) AS n_returned,
+                 max(l_shipdate) AS last_shipped
+          FROM lineitem GROUP BY 1) ON k = o_orderkey
+    """,
+)
+def bucketed_groupings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = 2 * spark.sparkContext.defaultParallelism
+    stored = {
+        name: layout.store_bucketed(
+            table(spark, sf_dir, name).select(*columns), f"ledger_{name}_by_order", fresh_path(spark, f"{name}-by-order"), columns[:1], buckets
+        )
+        for name, columns in {
+            "lineitem": ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"],
+            "orders": ["o_orderkey", "o_custkey"],
+        }.items()
+    }
+    lineitem = stored["lineitem"]
+    sizes = lineitem.groupBy("l_orderkey").agg(
+        F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("total_quantity")
+    )
+    returns = lineitem.groupBy("l_orderkey").agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"), F.max("l_shipdate").alias("last_shipped")
+    )
+    return (
+        stored["orders"].withColumnRenamed("o_orderkey", "l_orderkey").join(sizes, "l_orderkey").join(returns, "l_orderkey")
+        .withColumnRenamed("l_orderkey", "o_orderkey")
+    )
