@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,12 @@ from ledgerline.bindings.tables import (
     table,
 )
 from ledgerline.functions import from_units, units
-from ledgerline.operators import aggregates, quality
+from ledgerline.operators import aggregates, distinct_state, quality
 from ledgerline.operators.joins import aggregate_then_join, join_dimension
 from ledgerline.operators.ordering import ascending, descending, ordered, top_k
 from ledgerline.operators.transforms import add_raised
+from ledgerline.sources import read_parquet, write_parquet
+from ledgerline.workspace import fresh_path
 
 ORDER_CENTS = cents_sql("o_totalprice")
 
@@ -125,6 +128,35 @@ def agg_exact_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.statistics(lineitem, measures, ["l_returnflag", "l_linestatus"], scales={price: 2, quantity: 0})
 
 
+RANGES = [("spring 1995", "1995-03", "1995-05"), ("1995", "1995-01", "1995-12"), ("two years", "1996-07", "1998-06")]
+
+
+# Buyers of any range of months, from monthly bitmaps stored once.
+@query(
+    "distinct_by_month_range",
+    """
+    SELECT range_name, o_orderpriority, count(DISTINCT o_custkey) AS n_customers
+    FROM orders JOIN (VALUES ('spring 1995', '1995-03', '1995-05'), ('1995', '1995-01', '1995-12'),
+        ('two years', '1996-07', '1998-06')) AS r(range_name, first_month, last_month)
+        ON strftime(o_orderdate, '%Y-%m') BETWEEN first_month AND last_month
+    GROUP BY 1, 2
+    """,
+)
+def distinct_by_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    numbers = distinct_state.value_numbers(orders, "o_custkey")
+    path = fresh_path(spark, "buyers-by-month")
+    states = distinct_state.distinct_states(orders, ["month", "o_orderpriority"], "o_custkey", numbers)
+    write_parquet(states, path, partition_by=["month"])
+    stored = read_parquet(spark, path, states.schema)
+    found = [
+        distinct_state.distinct_counts(stored.where(F.col("month").between(low, high)), ["o_orderpriority"], "n_customers")
+        .withColumn("range_name", F.lit(name))
+        for name, low, high in RANGES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _orders_by_place(spark: SparkSession, sf_dir: str, group_by: Sequence[str]) -> DataFrame:
     """Order value and count per buyer attribute, reduced to one row per buyer first."""
     measures = {"total_units": ("total", units("o_totalprice", 2)), "n": ("count", None)}

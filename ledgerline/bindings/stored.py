@@ -296,6 +296,56 @@ def copy_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def _place(df: DataFrame, path: str) -> None:
+    """Write ``df`` as one CSV file of that name, replacing it."""
+    spark = df.sparkSession
+    folder = fresh_path(spark, "one-file")
+    sources.write_csv(df, folder, files=1)
+    written = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*.csv")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = written.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    files.delete(place, False)
+    files.rename(files.globStatus(written)[0].getPath(), place)
+
+
+# Orders by priority, one file each. The second run finds one file changed, one new and one gone, the third none.
+@query(
+    "copy_incremental",
+    """
+    WITH files AS (
+        SELECT lower(o_orderpriority[1:1]) || '.csv' AS file, o_orderpriority[1:1] AS p, count(*) AS n,
+            count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS n_first
+        FROM orders GROUP BY 1, 2
+    )
+    SELECT CAST(1 AS INTEGER) AS run, file, 'new' AS status, CASE WHEN p = '1' THEN n_first ELSE n END AS n_rows FROM files WHERE p <> '5'
+    UNION ALL SELECT 2, file, CASE p WHEN '1' THEN 'changed' WHEN '2' THEN 'vanished' WHEN '5' THEN 'new' ELSE 'same' END, n FROM files
+    UNION ALL SELECT 3, file, CASE p WHEN '2' THEN 'vanished' ELSE 'same' END, n FROM files
+    """,
+)
+def copy_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    source, target = fresh_path(spark, "files-source"), fresh_path(spark, "files-target")
+
+    def deliver(priority: str, rows: DataFrame = orders) -> None:
+        _place(rows.where(F.col("o_orderpriority").startswith(priority)), f"{source}/{priority}.csv")
+
+    deliver("1", orders.where("o_orderstatus = 'F'"))
+    for priority in "234":
+        deliver(priority)
+    runs = []
+    for run in (1, 2, 3):
+        if run == 2:
+            deliver("1")
+            deliver("5")
+            gone = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/2.csv")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, False)
+        done = sources.copy_incremental(spark, source, target, orders.columns)
+        file = F.element_at(F.split("file", "/"), -1).alias("file")
+        runs.append(done.select(F.lit(run).alias("run"), file, "status", "n_rows"))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 @query(
     "file_metadata",
     """

@@ -8,6 +8,7 @@ from ledgerline.sources.catalog import (
     replace_table,
     run_query,
 )
+from ledgerline.sources.incremental import copy_incremental, read_copied
 from ledgerline.sources.inference import infer_csv, read_csv_as_text, read_csv_inferred
 from ledgerline.sources.readers import read_csv, read_parquet
 from ledgerline.sources.transfer import (
@@ -32,6 +33,7 @@ from ledgerline.sources.writers import write_csv, write_parquet
 __all__ = [
     "VersionConflict",
     "copy_csv",
+    "copy_incremental",
     "create_versioned",
     "declare_table",
     "drop_old_loads",
@@ -42,6 +44,7 @@ __all__ = [
     "inline_table",
     "insert_rows",
     "merge_rows",
+    "read_copied",
     "read_csv",
     "read_csv_as_text",
     "read_csv_inferred",

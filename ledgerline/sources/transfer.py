@@ -32,9 +32,18 @@ def file_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_cells(
-    spark: SparkSession, path: str, columns: Sequence[str], *, encoding: str = "UTF-8", multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str],
+    *,
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
-    """CSV cells as the text they hold; an absent cell is null, a quoted empty one is not."""
+    """CSV cells as the text they hold; an absent cell is null, a quoted empty one is not.
+
+    ``file_column`` names one more column, the file that a row comes from.
+    """
     schema = StructType([StructField(name, StringType()) for name in columns])
     cells = (
         spark.read.option("header", True)
@@ -45,7 +54,8 @@ def read_text_cells(
         .schema(schema)
         .csv(path)
     )
-    return cells.select(*[F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)).alias(c) for c in columns])
+    file = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
+    return cells.select(*[F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)).alias(c) for c in columns], *file)
 
 
 def copy_csv(

@@ -25,6 +25,7 @@ def write_csv(
     compression: str | None = None,
     encoding: str = "UTF-8",
     quote_all: bool = False,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """CSV with a header row. Cell padding is kept; nulls are empty cells.
 
@@ -43,6 +44,8 @@ def write_csv(
     )
     if compression:
         writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.csv(path)
 
 
