@@ -1,19 +1,19 @@
 """Line de-duplication with a fixed-depth template tree, in SQL functions only.
 
 A line's tokens are its stretches without white space; a token with a digit is a
-variable field and reads ``<*>``. The tree has three levels: the number of tokens,
-the leading tokens, and the leaf's templates. The leaf's first template has, at each
-place, the token that at least half of the leaf's distinct lines have there, and
-``<*>`` elsewhere. A line belongs to a template if at least ``similarity`` of its
-tokens are the template's.
-
-A leaf may hold several families of lines, none of them half of it. With
-``several_templates`` the lines left over are therefore grouped by blocks of tokens:
-lines that differ in no more places than the similarity allows agree on one of one
-more blocks. Each group votes again, by a strict majority, and a line takes the template that most lines belong to. This is
-repeated on what is left until no line is added. Lines without a template are
-templates of their own. Templates that occur in several documents are boilerplate:
-their lines are dropped, except the first.
+variable field and reads ``<*>``. The upper levels of the tree are the number of tokens and
+the leading tokens. A leaf's template has, at each place, the token that more than half of
+the leaf's distinct lines have there, and ``<*>`` elsewhere; a line belongs to it if at least
+``similarity`` of its tokens are the template's.
+
+A leaf may hold several families of lines. The lines left over are therefore split by their token at one place: the
+place whose tokens fall into the fewest groups of weight, looked for at ``PROBES`` places
+spread over the line, so that any stretch of more than an eighth of a line is met. Each line goes to one child, children vote
+as leaves do, and this is repeated ``depth`` times or until no child has two lines. So a level
+costs one row for each line, and its tokens once. Lines without a template are templates of their own. So are lines of few
+tokens, such as those in scripts without spaces, from ``min_characters`` characters on.
+
+Templates that occur in several documents are boilerplate: their lines are dropped, except the first.
 
 Everything that decides works on hashes of lines. Document text is shuffled
 twice: to meet the places of distinct lines in leaves that have several, and to meet
@@ -29,6 +29,8 @@ from ledgerline.workspace import freeze
 
 BLANKS = " \t\r\f\x0b"
 VARIABLE = "<*>"
+DEPTH = 3  # times that the lines left over in a leaf are split
+PROBES = 8  # places at which a split is looked for
 # Only a token's first character may start a match, and nothing is tried twice.
 _WITH_DIGIT = r"(?<![^ \t\r\f\x0b])[^ \t\r\f\x0b0-9]*+[0-9][^ \t\r\f\x0b]*+"
 
@@ -40,36 +42,38 @@ def line_tokens(line: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(masked, r"[ \t\r\f\x0b]+"))
 
 
-def _parsed(docs: DataFrame, leading: int, min_tokens: int, *more: str) -> DataFrame:
-    """Lines of at least ``min_tokens`` tokens with their leaf and their own key."""
-    lines = docs.select("_doc", "_text_key", *more, F.posexplode(F.split("_text", "\n", -1)).alias("_place", "_line"))
-    tokens = lines.select("_doc", "_text_key", "_place", *more, line_tokens(F.col("_line")).alias("_tokens"))
-    long = tokens.where(F.size("_tokens") >= min_tokens)
-    return long.select(
-        "_doc",
-        "_text_key",
-        "_place",
-        "_tokens",
-        *more,
-        F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, leading)).alias("_leaf"),
-        F.xxhash64("_tokens").alias("_key"),
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
+
+
+def _leaf(leading: int) -> Column:
+    return F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, leading))
+
+
+def _hashed(docs: DataFrame, leading: int, min_tokens: int, min_characters: int) -> DataFrame:
+    """Lines that take part, with their leaf and their own key; ``_short`` ones are no part of the tree."""
+    lines = docs.select("_doc", "_text_key", F.posexplode(_lines(F.col("_text"))).alias("_place", "_line"))
+    tokens = lines.select("_doc", "_text_key", "_place", "_line", line_tokens(F.col("_line")).alias("_tokens"))
+    short = F.size("_tokens") < min_tokens
+    trimmed = F.btrim("_line", F.lit(BLANKS))
+    return tokens.where(~short | (F.char_length(trimmed) >= min_characters)).select(
+        "_doc", "_text_key", "_place", short.alias("_short"), _leaf(leading).alias("_leaf"), F.xxhash64("_tokens").alias("_key")
     )
 
 
-def _voted(lines: DataFrame, group: str, strict: bool) -> DataFrame:
-    """(group, template) by majority at each place, for lines of (group, tokens)."""
-    sizes = lines.groupBy(group).agg(F.count("*").alias("_lines"))
+def _voted(lines: DataFrame) -> DataFrame:
+    """(group, template) by strict majority at each place, for lines of (group, tokens)."""
+    sizes = lines.groupBy("_group").agg(F.count("*").alias("_lines"))
     votes = (
-        lines.select(group, F.posexplode("_tokens").alias("_i", "_token"))
-        .groupBy(group, "_i", "_token").agg(F.count("*").alias("_n"))
-        .groupBy(group, "_i").agg(F.max(F.struct("_n", "_token")).alias("_top"))
+        lines.select("_group", F.posexplode("_tokens").alias("_i", "_token"))
+        .groupBy("_group", "_i", "_token").agg(F.count("*").alias("_n"))
+        .groupBy("_group", "_i").agg(F.max(F.struct("_n", "_token")).alias("_top"))
     )
-    twice = F.col("_top._n") * 2
-    enough = twice > F.col("_lines") if strict else twice >= F.col("_lines")
+    majority = F.when(F.col("_top._n") * 2 > F.col("_lines"), F.col("_top._token"))
     return (
-        votes.join(sizes, group)
-        .groupBy(group)
-        .agg(F.sort_array(F.collect_list(F.struct("_i", F.when(enough, F.col("_top._token")).alias("_t")))).alias("_template"))
+        votes.join(sizes, "_group")
+        .groupBy("_group")
+        .agg(F.sort_array(F.collect_list(F.struct("_i", majority.alias("_t")))).alias("_template"))
     )
 
 
@@ -83,46 +87,42 @@ def _belongs(similarity: float) -> Column:
     return same >= F.size("_tokens") * F.lit(similarity)
 
 
-def _block_templates(left: DataFrame, leading: int, similarity: float) -> DataFrame:
-    """(leaf, key, template number) of lines that share a template with another one.
+def _split(rest: DataFrame, leading: int) -> DataFrame:
+    """The lines with the child of their group that they go to, where a child has two lines or more.
 
-    Lines meet if they agree on a block of the tokens after the leading ones.
+    The weight of a place is the number of pairs of lines that agree there. Places at which a fifth of the lines' weight
+    is lost at least are preferred, of these the heaviest; so two or three families go apart and a variable field is
+    no choice as long as there is another.
     """
-    rest = F.size("_tokens") - leading
-    differ = F.size("_tokens") - F.ceil(F.size("_tokens") * F.lit(similarity))
-    number = F.least(differ + 1, rest).cast("int")
-    cut = lambda j: F.floor(j * rest / number).cast("int")
-    blocks = F.transform(
-        F.sequence(F.lit(0), number - 1),
-        lambda j: F.xxhash64("_leaf", j, F.slice("_tokens", cut(j) + leading + 1, cut(j + 1) - cut(j))),
-    )
-    held = freeze(
-        left.where((rest > 0) & (differ > 0)).select("_leaf", "_key", F.explode(blocks).alias("_block")), "line-blocks"
-    )
-    # Blocks that gather the very same lines give the same template: one of them will do.
-    groups = (
-        held.groupBy("_leaf", "_block").agg(F.count("*").alias("_n"), F.bit_xor("_key").alias("_set"))
-        .where("_n > 1").groupBy("_leaf", "_n", "_set").agg(F.min("_block").alias("_block"))
+    free = F.size("_tokens") - leading
+    count = F.least(F.lit(PROBES), free)
+    probes = F.transform(F.sequence(F.lit(0), count - 1), lambda k: (leading + F.floor(k * free / count)).cast("int"))
+    seen = rest.where(free > 0).select("_group", "_tokens", F.explode(F.array_distinct(probes)).alias("_i"))
+    weights = (
+        seen.groupBy("_group", "_i", F.get("_tokens", F.col("_i")).alias("_token")).agg(F.count("*").alias("_n"))
+        .groupBy("_group", "_i").agg(F.sum("_n").alias("_lines"), F.sum(F.col("_n") * F.col("_n")).alias("_weight"))
+        .where(F.col("_weight") < F.col("_lines") * F.col("_lines"))
     )
-    members = freeze(
-        held.join(groups.select("_leaf", "_block"), ["_leaf", "_block"]).join(left, ["_leaf", "_key"]), "block-members"
+    parts = F.col("_lines") * F.col("_lines") * 4 >= F.col("_weight") * 5
+    choice = F.struct(
+        F.when(parts, 1).otherwise(0).alias("_parts"),
+        F.when(parts, F.col("_weight")).otherwise(-F.col("_weight")).alias("_order"),
+        (-F.col("_i")).alias("_minus"),
     )
-    templates = _voted(members, "_block", True)
-    fits = freeze(
-        members.join(templates, "_block").where(_belongs(similarity))
-        .select("_leaf", "_key", F.xxhash64("_leaf", "_template").alias("_number")).distinct(),
-        "block-fits",
-    )
-    support = fits.groupBy("_leaf", "_number").agg(F.count("*").alias("_n")).where("_n > 1")
-    best = fits.join(support, ["_leaf", "_number"]).groupBy("_leaf", "_key").agg(F.max(F.struct("_n", "_number")).alias("_best"))
-    return best.select("_leaf", "_key", F.col("_best._number").alias("_number"))
+    chosen = weights.groupBy("_group").agg(F.max(choice).alias("_best")).select("_group", (-F.col("_best._minus")).alias("_at"))
+    moved = rest.join(chosen, "_group").withColumn("_group", F.xxhash64("_group", "_at", F.get("_tokens", F.col("_at"))))
+    moved = freeze(moved.drop("_at"), "split-lines")
+    several = moved.groupBy("_group").agg(F.count("*").alias("_n")).where("_n > 1").select("_group")
+    return moved.join(several, "_group", "left_semi")
 
 
-def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens: int, similarity: float, repeat: bool) -> DataFrame:
+def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, similarity: float, depth: int) -> DataFrame:
     """(leaf, key, template number) of the distinct lines that belong to a template of their leaf."""
     firsts = freeze(
-        hashed.groupBy("_leaf", "_key").agg(F.min(F.struct("_doc", "_text_key", "_place")).alias("_at")), "first-places"
-    )
+        hashed.where("NOT _short").groupBy("_leaf", "_key")
+        .agg(F.min(F.struct("_doc", "_text_key", "_place")).alias("_at")),
+        "first-places",
+    )
     several = freeze(
         firsts.groupBy("_leaf").agg(F.count("*").alias("_n")).where("_n > 1").select("_leaf"), "shared-leaves"
     )
@@ -131,24 +131,27 @@ def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, min_tokens:
         firsts.join(several, "_leaf").groupBy("_at._doc", "_at._text_key").agg(F.collect_list("_at._place").alias("_places")),
         "places",
     )
-    held = docs.join(places.hint("merge"), ["_doc", "_text_key"])
-    parsed = _parsed(held, leading, min_tokens, "_places").where(F.array_contains("_places", F.col("_place")))
-    distinct = freeze(
-        parsed.select("_leaf", "_key", "_tokens").groupBy("_leaf", "_key").agg(F.first("_tokens").alias("_tokens")),
+    held = docs.join(places.hint("merge"), ["_doc", "_text_key"]).select("_places", _lines(F.col("_text")).alias("_l"))
+    picked = held.select(F.explode(F.transform("_places", lambda i: F.get("_l", i))).alias("_line"))
+    parsed = picked.select(line_tokens(F.col("_line")).alias("_tokens"))
+    parsed = parsed.select(_leaf(leading).alias("_leaf"), F.xxhash64("_tokens").alias("_key"), "_tokens")
+    open_ = freeze(
+        parsed.groupBy("_leaf", "_key").agg(F.first("_tokens").alias("_tokens")).withColumn("_group", F.col("_leaf")),
         "distinct-lines",
     )
-    templates = freeze(_voted(distinct.select("_leaf", "_tokens"), "_leaf", False), "templates")
-    found = freeze(
-        distinct.join(templates, "_leaf").where(_belongs(similarity)).select("_leaf", "_key", F.lit(0).cast("bigint").alias("_number")),
-        "general-lines",
-    )
-    left, added = distinct, found
-    while repeat:
-        left = freeze(left.join(added, ["_leaf", "_key"], "left_anti"), "lines-left")
-        added = freeze(_block_templates(left, leading, similarity), "general-lines")
-        if added.isEmpty():
-            break
-        found = found.unionByName(added)
+    found: DataFrame | None = None
+    for level in range(depth + 1):
+        templates = freeze(_voted(open_), "templates")
+        judged = freeze(
+            open_.join(templates, "_group").select("_leaf", "_key", "_group", "_tokens", _belongs(similarity).alias("_fits")),
+            "judged-lines",
+        )
+        fit = judged.where("_fits").select("_leaf", "_key", F.col("_group").alias("_number"))
+        found = fit if found is None else found.unionByName(fit)
+        if level < depth:
+            open_ = freeze(_split(judged.where("NOT _fits").drop("_fits"), leading), "open-lines")
+            if open_.isEmpty():
+                break
     return found
 
 
@@ -159,7 +162,8 @@ def drop_recurring_lines(
     min_tokens: int = 3,
     leading: int = 3,
     similarity: float = 0.8,
-    several_templates: bool = False,
+    depth: int = DEPTH,
+    min_characters: int = 20,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -169,9 +173,8 @@ def drop_recurring_lines(
     documents and it is not the template's first line (by id, then place). So
     no passage is lost altogether. Documents with the very same text count as
     one, so a document is not emptied for having a copy; that is for document
-    de-duplication. Lines of fewer than ``min_tokens`` tokens always stay.
-    Without ``several_templates`` a leaf has its first template only, so in a crowded
-    leaf (many lines of one length and beginning) only exact repeats may be left to drop.
+    de-duplication. Lines of fewer than ``min_tokens`` tokens recur only as they are (but for
+    fields with digits), and always stay below ``min_characters`` characters without their margins.
 
     A null text stays null, with 0 lines; an empty text has one blank line. Rows with a
     null id are left as they are and count for nothing. Rows that repeat an id and
@@ -182,10 +185,8 @@ def drop_recurring_lines(
     keyed = docs.select(
         F.col(id_column).alias("_doc"), F.col(text_column).alias("_text"), F.xxhash64(text_column).alias("_text_key")
     ).where("_doc IS NOT NULL AND _text IS NOT NULL")
-    hashed = freeze(
-        _parsed(keyed, leading, min_tokens).select("_doc", "_text_key", "_place", "_leaf", "_key"), "line-hashes"
-    )
-    general = _general_lines(keyed, hashed, leading, min_tokens, similarity, several_templates)
+    hashed = freeze(_hashed(keyed, leading, min_tokens, min_characters), "line-hashes")
+    general = _general_lines(keyed, hashed, leading, similarity, depth)
     mapped = freeze(
         hashed.join(general, ["_leaf", "_key"], "left").select(
             "_doc", "_text_key", "_place", "_leaf", F.coalesce("_number", "_key").alias("_template")
@@ -204,8 +205,10 @@ def drop_recurring_lines(
         .groupBy("_doc", "_text_key")
         .agg(F.collect_set("_place").alias("_places"))
     )
-    lines = F.split(text_column, "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_places", i)), "\n")
+    lines = _lines(F.col(text_column))
+    # By a hash set: a document may lose very many lines.
+    stay = F.array_except(F.sequence(F.lit(0), F.array_size(lines) - 1), F.col("_places"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     rest = [F.col(f"d.`{c}`") for c in docs.columns if c not in (text_column, "n_lines", "n_dropped")]
     d = docs.withColumn("_line_text_key", F.xxhash64(text_column)).alias("d")
     joined = d.join(

@@ -53,42 +53,64 @@ def op3_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
-LINE_TEMPLATES_SQL = r"""
+# One level of the tree: the vote of each group's lines, the lines that belong, and the children of the rest.
+_LINE_LEVEL_SQL = """, sizes{t} AS (
+    SELECT g, count(*) AS lines FROM open{t} GROUP BY g
+), spread{t} AS (
+    SELECT g, tokens, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM open{t}
+), template{t} AS (
+    SELECT g, i, token FROM (SELECT g, i, token, count(*) AS c FROM spread{t} GROUP BY ALL) JOIN sizes{t} USING (g)
+    WHERE c * 2 > lines
+), fits{t} AS (
+    SELECT g, tokens FROM spread{t} JOIN template{t} USING (g, i, token)
+    GROUP BY g, tokens HAVING count(*) >= len(tokens) * CAST(0.8 AS DOUBLE)
+), rest{t} AS (
+    SELECT g, tokens FROM open{t} ANTI JOIN fits{t} USING (g, tokens)
+), probes{t} AS (
+    SELECT g, tokens, unnest(list_distinct([4 + k * (len(tokens) - 3) // least(8, len(tokens) - 3)
+        FOR k IN range(least(8, len(tokens) - 3))])) AS i FROM rest{t}
+), weights{t} AS (
+    SELECT g, i, sum(c) AS lines, sum(c * c) AS weight FROM (
+        SELECT g, i, tokens[i] AS token, count(*) AS c FROM probes{t} GROUP BY ALL)
+    GROUP BY g, i HAVING sum(c * c) < sum(c) * sum(c)
+), chosen{t} AS (
+    SELECT g, i FROM (
+        SELECT g, i, row_number() OVER (PARTITION BY g ORDER BY lines * lines * 4 >= weight * 5 DESC,
+            CASE WHEN lines * lines * 4 >= weight * 5 THEN weight ELSE -weight END DESC, i) AS k FROM weights{t})
+    WHERE k = 1
+), open{u} AS (
+    SELECT * FROM (
+        SELECT list_concat(g, [CAST(i AS VARCHAR), tokens[i]]) AS g, tokens FROM rest{t} JOIN chosen{t} USING (g))
+    QUALIFY count(*) OVER (PARTITION BY g) > 1
+)"""
+
+LINE_TEMPLATES_SQL = (
+    r"""
 WITH lines AS (
     SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
     FROM documents
 ), tokens AS (
-    SELECT doc_id, text, place,
+    SELECT doc_id, text, place, line,
         [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END
          FOR t IN string_split_regex(line, '[ \t\r\f\x0b]+') IF t <> ''] AS tokens
     FROM lines
 ), parsed AS (
-    SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM tokens WHERE len(tokens) >= 3
+    SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM tokens
+    WHERE len(tokens) >= 3 OR length(regexp_replace(line, '^[ \t\r\f\x0b]+|[ \t\r\f\x0b]+$', '', 'g')) >= 20
 ), distinct_lines AS (
-    SELECT DISTINCT n, lead, tokens FROM parsed
-), sizes AS (
-    SELECT n, lead, count(*) AS lines FROM distinct_lines GROUP BY n, lead HAVING count(*) > 1
-), places AS (
-    SELECT n, lead, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i
-    FROM distinct_lines JOIN sizes USING (n, lead)
-), votes AS (
-    SELECT n, lead, i, token, count(*) AS c FROM places GROUP BY ALL
-), tops AS (
-    SELECT n, lead, i, token, c FROM (
-        SELECT *, row_number() OVER (PARTITION BY n, lead, i ORDER BY c DESC, token DESC) AS k FROM votes) WHERE k = 1
-), template AS (
-    SELECT n, lead, i, token FROM tops JOIN sizes USING (n, lead) WHERE c * 2 >= lines
-), spread AS (
-    SELECT n, lead, tokens, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i
-    FROM distinct_lines JOIN sizes USING (n, lead)
-), general AS (
-    SELECT s.n, s.lead, s.tokens FROM spread s JOIN template t
-    ON s.n = t.n AND s.lead = t.lead AND s.i = t.i AND s.token = t.token
-    GROUP BY s.n, s.lead, s.tokens HAVING count(*) >= s.n * CAST(0.8 AS DOUBLE)
+    SELECT DISTINCT list_concat([CAST(n AS VARCHAR)], lead) AS g, tokens FROM parsed WHERE n >= 3
+), open0 AS (
+    SELECT * FROM distinct_lines QUALIFY count(*) OVER (PARTITION BY g) > 1
+)"""
+    + "".join(_LINE_LEVEL_SQL.format(t=t, u=t + 1) for t in range(line_templates.DEPTH + 1))
+    + ", general AS ("
+    + " UNION ALL ".join(f"SELECT g, tokens FROM fits{t}" for t in range(line_templates.DEPTH + 1))
+    + r"""
 ), mapped AS (
-    SELECT p.doc_id, p.text, p.place, p.n, p.lead, CASE WHEN g.n IS NOT NULL THEN ['<general>', '<general>'] ELSE p.tokens END AS template
-    FROM parsed p LEFT JOIN general g ON p.n = g.n AND p.lead = g.lead AND p.tokens = g.tokens
+    SELECT p.doc_id, p.text, p.place, p.n, p.lead,
+        CASE WHEN g.g IS NOT NULL THEN list_concat(['<general>'], g.g) ELSE p.tokens END AS template
+    FROM parsed p LEFT JOIN general g ON p.n >= 3 AND p.tokens = g.tokens
 ), recurring AS (
     SELECT n, lead, template FROM mapped GROUP BY n, lead, template HAVING count(DISTINCT text) >= 2
 ), ordered AS (
@@ -103,6 +125,7 @@ WITH lines AS (
 )
 SELECT doc_id, coalesce(text, '') AS text, n_lines, n_dropped FROM rebuilt
 """
+)
 
 
 def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

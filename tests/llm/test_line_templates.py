@@ -38,7 +38,7 @@ def test_a_leaf_holds_several_templates(docs_of):
     ]
     names = [a + b for a in "bcdfghklmnprst" for b in "ae"][:26]
     rows = [(i * 3 + f, f"{n} own\n" + line.format(n)) for i, n in enumerate(names) for f, line in enumerate(families)]
-    found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(docs_of(rows), several_templates=True).collect()}
+    found = {r.doc_id: r.n_dropped for r in drop_recurring_lines(docs_of(rows)).collect()}
     assert found == {i: int(i > 2) for i in found} and len(found) == 78
 
 
