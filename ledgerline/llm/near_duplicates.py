@@ -3,7 +3,7 @@
 1. Each document becomes a set of distinct word shingles, ``HASHES`` minima, one
    key per band of minima, and a signature that keeps only the lowest bits of the
    minima, packed in 64-bit numbers.
-2. Documents with equal sets form a class; from here on its smallest id stands
+2. Documents with equal sets form a class; from here on its number stands
    for it, so thousands of copies cost one row.
 3. Representatives that share a band key are candidates. The number of equal
    lanes of two signatures, counted with ``bit_count`` and corrected for lanes
@@ -81,6 +81,17 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return words.mixed(words.mixed(rows * _ROW + np.uint64(1)).sum(axis=2, dtype=np.uint64) + _BAND)
 
 
+def fingerprints(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two numbers that tell the sets apart, zeros for empty ones: one column for each set."""
+    some = np.flatnonzero(np.diff(bounds))
+    out = np.zeros((2, len(bounds) - 1), np.uint64)
+    if len(some):
+        firsts = bounds[:-1][some]
+        out[0, some] = np.add.reduceat(words.mixed(values), firsts)
+        out[1, some] = np.add.reduceat(words.mixed(values ^ np.uint64(0x5851F42D4C957F2D)), firsts)
+    return out
+
+
 def _sketches(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,21 +99,18 @@ def _sketches(n: int):
                 values, bounds = distinct_shingles(texts, n)
                 sizes = np.diff(bounds)
                 some = np.flatnonzero(sizes)
-                out = {"sum": np.zeros(len(sizes), np.uint64), "mix": np.zeros(len(sizes), np.uint64)}
+                sums = fingerprints(values, bounds)
                 bands = np.zeros((len(sizes), HASHES // ROWS), np.uint64)
                 packed = np.zeros((len(sizes), PACKED), np.uint64)
                 if len(some):
-                    firsts = bounds[:-1][some]
-                    out["sum"][some] = np.add.reduceat(words.mixed(values), firsts)
-                    out["mix"][some] = np.add.reduceat(words.mixed(values ^ np.uint64(0x5851F42D4C957F2D)), firsts)
-                    least = minima(values, np.append(firsts, len(values)))
+                    least = minima(values, np.append(bounds[:-1][some], len(values)))
                     bands[some], packed[some] = band_keys(least), signatures(least)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, len(texts)),
                         pa.array(sizes),
-                        pa.array(words.signed(out["sum"])),
-                        pa.array(words.signed(out["mix"])),
+                        pa.array(words.signed(sums[0])),
+                        pa.array(words.signed(sums[1])),
                         _lists(bands),
                         _lists(packed),
                     ],
@@ -123,7 +131,10 @@ def _full_sets(n: int):
             for first, texts in words.chunks(batch.column(1)):
                 values, bounds = distinct_shingles(texts, n)
                 sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(words.signed(values)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), sets], names=["rep", "shingles"])
+                sums = [pa.array(words.signed(x)) for x in fingerprints(values, bounds)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(texts)), *sums, sets], names=["doc_id", "set_a", "set_b", "shingles"]
+                )
 
     return run
 
@@ -245,36 +256,38 @@ def near_duplicate_groups(
         "sketches",
     )
     usable = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = freeze(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "classes")
+    # Numbered once, in a stored table: an id may repeat with different sets.
+    classes = freeze(
+        usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("doc_id"))
+        .withColumn("rep", F.monotonically_increasing_id()),
+        "classes",
+    )
     standing = freeze(
-        usable.withColumnRenamed("doc_id", "rep").join(classes, ["set_a", "set_b", "rep"], "left_semi")
-        .select("rep", "bands", "signature").dropDuplicates(["rep"]),
+        usable.join(classes, ["set_a", "set_b", "doc_id"]).select("rep", "bands", "signature").dropDuplicates(["rep"]),
         "representatives",
-    )
+    )
     keyed = standing.select("rep", F.explode("bands").alias("key"))
     shared = freeze(
-        keyed.groupBy("key").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"))
-        .where("_low < _high").select("key"),
+        keyed.groupBy("key").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.count("*").alias("members"))
+        .where("_low < _high").select("key", "members"),
         "shared-buckets",
     )
-    members = freeze(
-        keyed.join(shared, "key", "left_semi").join(standing.select("rep", "signature"), "rep"), "members"
-    )
+    members = freeze(keyed.join(shared, "key").join(standing.select("rep", "signature"), "rep"), "members")
     labels = freeze(members.select("rep").distinct().withColumn("component", F.col("rep")), "labels")
     lowest = lowest_estimate(percent / 100)
     sets = None
 
-    def full_sets(ids: DataFrame) -> DataFrame:
-        """Shingle sets that cover the given ids (a column ``doc_id``)."""
+    def full_sets(reps: DataFrame) -> DataFrame:
+        """Shingle sets that cover the given representatives (a column ``rep``)."""
         nonlocal sets
-        wanted = ids.distinct()
+        wanted = reps.distinct()
         if sets is not None:
-            wanted = wanted.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
-        texts = source.join(freeze(wanted, "wanted").hint("merge"), "doc_id", "left_semi")
-        more = freeze(
-            texts.mapInArrow(_full_sets(shingle_words), "rep bigint, shingles array<bigint>").dropDuplicates(["rep"]),
-            "full-sets",
-        )
+            wanted = wanted.join(sets.select("rep"), "rep", "left_anti")
+        wanted = freeze(classes.join(wanted, "rep"), "wanted")
+        texts = source.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+        full = texts.mapInArrow(_full_sets(shingle_words), "doc_id bigint, set_a bigint, set_b bigint, shingles array<bigint>")
+        more = full.join(wanted, ["doc_id", "set_a", "set_b"]).select("rep", "shingles").dropDuplicates(["rep"])
+        more = freeze(more, "full-sets")
         sets = more if sets is None else sets.unionByName(more)
         return sets
 
@@ -290,7 +303,7 @@ def near_duplicate_groups(
         )
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
         return _confirmed(pairs, full_sets(ends), percent)
 
     def undecided(rows: DataFrame) -> DataFrame:
@@ -304,7 +317,7 @@ def near_duplicate_groups(
         )
         return freeze(placed.drop("members").join(mixed, "key"), "undecided")
 
-    open_ = members.select("*", F.col("rep").alias("component"), F.lit(0).cast("bigint").alias("members"))
+    open_ = members.select("*", F.col("rep").alias("component"))
     for turn in range(LEADER_ROUNDS):
         # Another leader in each bucket and round: a member meets up to one per band.
         chosen = F.min_by(F.struct("rep", "component", "signature"), F.xxhash64("rep", "key", F.lit(turn)))
@@ -346,16 +359,18 @@ def near_duplicate_groups(
         dealt = large.select(
             "key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
         ).select("key", "rep", "component", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-        blocked = dealt.join(full_sets(large.select(F.col("rep").alias("doc_id"))), "rep")
+        blocked = dealt.join(full_sets(large.select("rep")), "rep")
         found = blocked.groupBy("key", "p", "q").applyInPandas(_block_links(percent), "a bigint, b bigint")
         links = found if links is None else links.unionByName(found)
     if links is not None:
         labels = merged(freeze(links, "links"))
 
-    named = freeze(
-        classes.join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("_component")),
-        "class-labels",
+    placed = freeze(
+        classes.join(labels, "rep", "left").select("set_a", "set_b", "doc_id", F.coalesce("component", "rep").alias("_number")),
+        "placed-classes",
     )
+    least = placed.groupBy("_number").agg(F.min("doc_id").alias("_component"))
+    named = freeze(placed.join(least, "_number").select("set_a", "set_b", "_component"), "class-labels")
     component = F.when(F.col("n_shingles") > 0, F.col("_component"))
     return (
         sketches.select("doc_id", "n_shingles", "set_a", "set_b")

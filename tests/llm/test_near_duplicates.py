@@ -82,3 +82,26 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.component for r in connected_components(links).collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 141), 100)}
     assert connected_components(links.limit(0)).count() == 0
+
+
+def test_ids_that_repeat_with_other_texts(docs_of):
+    rnd = random.Random(6)
+    a, b = ([f"{c}{rnd.randrange(10**6)}" for _ in range(200)] for c in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (8, " ".join([*a, "x"])), (9, " ".join([*b, "x"])), (7, "some other words here now")]
+    found = nd.near_duplicate_groups(docs_of(rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [
+        (5, 5, True), (5, 5, True), (7, 7, True), (8, 5, False), (9, 5, False),
+    ]
+
+
+def test_buckets_without_any_link_are_measured(docs_of, monkeypatch):
+    """A hot bucket whose members share half their text: no leader pair is a candidate, and blocks are used."""
+    monkeypatch.setattr(nd, "LARGE_BUCKET", 5)
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    monkeypatch.setattr(nd, "lowest_estimate", lambda similarity: 2.0)
+    rnd = random.Random(2)
+    half = " ".join(f"h{rnd.randrange(10**6)}" for _ in range(120))
+    rows = [(i, f"{half} {' '.join(f'w{rnd.randrange(10**6)}' for _ in range(40))}") for i in range(40)]
+    rows += [(100 + i, f"{text} end") for i, text in rows[:3]]
+    found = nd.near_duplicate_groups(docs_of(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components_by_force(rows, 5, 80)
