@@ -178,7 +178,7 @@ def train(
     )
     counts = marked.agg(F.count_if(F.col("_label") == 1).alias("toxic"), F.count("*").alias("all")).first()
     if not counts["toxic"]:
-        return np.append(np.zeros(BUCKETS), -30.0)
+        return _no_evidence()
     prior = prior if prior is not None else counts["toxic"] / counts["all"]
     place = F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(_SCALE))
     confirmed = (
@@ -209,9 +209,16 @@ def train(
         "_role.bag", "_role.positive", "order", "features"
     )
     found = rows.groupBy("bag").applyInPandas(_trained(prior), "bag int, weights binary").collect()
+    if not found:  # no document to learn from
+        return _no_evidence()
     return np.mean([np.frombuffer(r["weights"], np.float32) for r in found], axis=0).astype(np.float64)
 
 
+def _no_evidence() -> np.ndarray:
+    """Weights by which every score is close to 0."""
+    return np.append(np.zeros(BUCKETS), -30.0)
+
+
 def _share(wanted: int, of: int, most: int = _SCALE) -> int:
     """How many of ``_SCALE`` equal parts give about ``wanted`` of ``of`` rows."""
     return max(1, min(most, -(-wanted * _SCALE // max(of, 1))))
@@ -256,7 +263,7 @@ def score_toxicity(
 
     Null and empty texts have no words and get the score of the bias. Null ids are
     scored, never learned from and not held out; repeated rows are scored each.
-    Without any confirmed toxic document every score is close to 0. An empty table
+    Without any confirmed toxic document, or any document to learn from, every score is close to 0. An empty table
     gives an empty result. Ids are bigint.
     """
     kept = docs.select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column).alias(text_column))

@@ -80,6 +80,14 @@ def test_toxicity_of_odd_rows(spark, docs_of, odd_rows):
     assert toxicity.score_toxicity(docs_of([]), labels).count() == 0
 
 
+def test_toxicity_without_a_training_document(spark, docs_of):
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id bigint, toxic int")
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0]
+    for rows in ([(i, "some words") for i in held], [(None, "some words"), (None, None)]):
+        found = toxicity.score_toxicity(docs_of(rows), labels).collect()
+        assert len(found) == len(rows) and all(r.score < 1e-6 and r.predicted == 0 for r in found)
+
+
 def test_positive_unlabelled_risk_separates():
     rng = np.random.default_rng(0)
     noise = lambda: rng.integers(100, 5000, 30)
