@@ -21,7 +21,6 @@ from ledgerline.workspace import freeze
 
 BUCKETS = 10_000
 _DIGIT = 16  # bits decided in each pass of the selection
-_SCALE = 1 << 20
 
 
 def hashed_ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +101,6 @@ def importance_sample(
     labels: DataFrame,
     *,
     fraction: float = 0.5,
-    targets: int = 100_000,
     seed: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -110,8 +108,7 @@ def importance_sample(
 ) -> DataFrame:
     """One row per document: ``doc_id, log_weight, sample_key, selected``.
 
-    The target model is learned from documents with label 1, about ``targets`` of
-    them by a hash of the id if there are more; the raw model from all documents.
+    The target model is learned from all documents with label 1, the raw model from all documents.
     ``selected`` marks the ``fraction`` of the rows with the largest keys; rows that
     tie with the last one, which only repeats of an id do, are selected too.
     The noise depends on id and ``seed``, so a rerun draws the same sample.
@@ -122,10 +119,9 @@ def importance_sample(
     """
     source = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     good = labels.where(F.col(label_column).cast("int") == 1).select(F.col(id_column).cast("bigint").alias("doc_id")).distinct()
-    share = max(1, min(_SCALE, math.ceil(targets * _SCALE / max(good.count(), 1))))
-    chosen = good.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(_SCALE)) < share).withColumn("_target", F.lit(True))
-    # Bounded by ``targets`` ids.
-    marked = source.join(F.broadcast(chosen), "doc_id", "left").select(F.coalesce("_target", F.lit(False)).alias("_target"), "text")
+    # A stored table, so that Spark knows its size.
+    chosen = freeze(good, "target-ids").withColumn("_target", F.lit(True))
+    marked = source.join(chosen, "doc_id", "left").select(F.coalesce("_target", F.lit(False)).alias("_target"), "text")
     sums = (
         marked.mapInArrow(_counts, "bucket bigint, raw bigint, target bigint")
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
