@@ -32,6 +32,7 @@ FANOUT = 16  # children of an inner node
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 1_024
 EXACT = 2.0**53  # integers below it are exact as doubles
+LARGEST_SCORE = 2.0**63 * (1 - 1e-9)  # no score exceeds the largest squared norm
 
 _PAGES = (
     "dim int, shard bigint, node int, parent int, pivot array<double>, radius double, to_parent double, "
@@ -42,7 +43,7 @@ _PAGES = (
 def _quantised(scale: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, out = [], [], []
+            ids, dims, norms, out = [], [], [], []
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if i is None or not v or any(x is None for x in v):
                     continue
@@ -50,10 +51,11 @@ def _quantised(scale: float):
                 if np.isfinite(x).all():
                     ids.append(i)
                     dims.append(len(x))
+                    norms.append(float((x * x).sum()))
                     out.append(x.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())],
-                names=["vec_id", "dim", "vector"],
+                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.float64()), pa.array(out, pa.binary())],
+                names=["vec_id", "dim", "norm", "vector"],
             )
 
     return run
@@ -216,14 +218,19 @@ def top_inner_products(
 
     Vectors that are null, empty, or hold a null or non-finite component take no
     part, nor do null ids. Rows that repeat an id count once. Only vectors of equal
-    length are compared. An empty table gives an empty result. Other columns are not
+    length are compared. Vectors so large that a score could leave 64 bits raise a ``ValueError``. An empty table gives an empty result. Other columns are not
     looked at.
     """
     spark = vectors.sparkSession
     source = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("vector"))
-    usable = source.mapInArrow(_quantised(scale), "vec_id bigint, dim int, vector binary")
-    once = freeze(usable.groupBy("vec_id").agg(F.min(F.struct("dim", "vector")).alias("v")).select("vec_id", "v.*"), "vectors")
-    sizes = once.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
+    usable = source.mapInArrow(_quantised(scale), "vec_id bigint, dim int, norm double, vector binary")
+    once = freeze(usable.groupBy("vec_id").agg(F.min(F.struct("dim", "vector", "norm")).alias("v")).select("vec_id", "v.*"), "vectors")
+    sizes = once.agg(
+        F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q"), F.max("norm").alias("norm")
+    ).first()
+    if sizes["norm"] is not None and not sizes["norm"] < LARGEST_SCORE:
+        raise ValueError(f"squared norms up to {sizes['norm']:.3g}: scores may leave 64 bits")
+    once = once.drop("norm")
     shards = max(1, math.ceil(sizes["n"] / SHARD_ROWS))
     blocks = max(1, math.ceil(sizes["q"] / BLOCK_QUERIES))
     dealt = once.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))

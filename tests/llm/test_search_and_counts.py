@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from ledgerline.llm import decontamination, metric_tree, token_counts
 
@@ -153,3 +154,12 @@ def test_shared_prefixes_are_scored_once():
     nodes = len(trie.best)
     trie.add("abba")
     assert len(trie.best) == nodes + 2 and trie.counts["abab"] == 3
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    fits = spark.createDataFrame([(i, [float(i), 1e7]) for i in range(30)], "vec_id bigint, embedding array<double>")
+    assert metric_tree.top_inner_products(fits).count() == 40
+    for large in (1e12, 1e200):
+        frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [large, 0.0])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(ValueError, match="64 bits"):
+            metric_tree.top_inner_products(frame)
