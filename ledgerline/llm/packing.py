@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from ledgerline.workspace import freeze
 
 SEPARATOR = 0
-SLICE_CHARS = 1 << 20  # texts are split into words about this much at a time
-CACHED_WORDS = 400_000  # spellings a worker remembers before it starts afresh
+SLICE_CHARS = 1 << 23  # texts are split into words about this much at a time
+CACHED_WORDS = 500_000  # spellings a worker remembers, once for those in use and once for those before
 CACHED_CHARS = 48  # longer words are encoded each time
 
 
@@ -139,6 +140,7 @@ class _WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters = _byte_letters()
         self.marks = {mark: self._whole([mark])[0] for mark in ".,"}
         # A special token that may stand between words that are encoded together.
@@ -165,6 +167,26 @@ class _WordEncoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)], strict=True)]
 
+    def remembered(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. When the memory is full, words not used since it was last full are forgotten."""
+        if len(self.seen) + len(words) > CACHED_WORDS:
+            self.seen, self.older = {}, self.seen
+        seen, older = self.seen, self.older
+        found = [seen.get(word) for word in words]
+        missing = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                ids = older.get(words[i])
+                if ids is None:
+                    missing.append(i)
+                else:
+                    found[i] = seen[words[i]] = ids
+        for i, ids in zip(missing, self.encode([words[i] for i in missing]), strict=True):
+            found[i] = ids
+            if len(words[i]) <= CACHED_CHARS:
+                seen[words[i]] = ids
+        return found
+
     def encode(self, words: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
         rest, odd = [], []
@@ -209,28 +231,45 @@ def _spelling(text: str) -> str:
     return text.lower() if "<|" not in text and _is_latin1(text) else text
 
 
-def token_bytes(texts: list[str], definition: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers.
+def token_ids(texts: list[str], definition: str, separator: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts as one array, each text with the separator behind it if there is one, and their bounds.
 
     No token spans a space or a line break, so the stretches between them are
-    encoded once per distinct spelling.
+    encoded once per distinct spelling; splitting them and putting the ids together is done for
+    whole arrays.
     """
     encoder = _word_encoder(definition)
-    seen = encoder.seen
-    split = [_spelling(text).replace("\n", " ").split(" ") for text in texts]
-    missing = list({word for words in split for word in words if word not in seen})
-    if len(seen) + len(missing) > CACHED_WORDS:
-        seen.clear()
-        missing = list({word for words in split for word in words})
-    long = {}
-    for word, ids in zip(missing, encoder.encode(missing), strict=True):
-        (seen if len(word) <= CACHED_CHARS else long)[word] = ids
-    if long:
-        return [b"".join([seen[w] if w in seen else long[w] for w in words]) for words in split]
-    return [b"".join([seen[w] for w in words]) for words in split]
-
-
-def _pieces(definition, capacity: int):
+    column = pc.replace_substring(pa.array([_spelling(t) for t in texts], pa.large_string()), "\n", " ")
+    split = pc.split_pattern(column, " ")
+    words = split.values.dictionary_encode()
+    spelt = encoder.remembered(words.dictionary.to_pylist())
+    if separator is not None:
+        spelt.append(separator.to_bytes(4, "little"))
+    known = np.frombuffer(b"".join(spelt), dtype="<u4")
+    sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+    starts = np.cumsum(sizes) - sizes
+
+    ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+    place = words.indices.to_numpy()
+    if separator is not None:
+        place = np.insert(place, ends, len(spelt) - 1)
+        ends = ends + np.arange(1, len(ends) + 1)
+    counts = sizes[place]
+    after = np.cumsum(counts)
+    at = np.repeat(starts[place] - (after - counts), counts)
+    at += np.arange(len(at))
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    bounds[1:] = np.concatenate([[0], after])[ends]
+    return known[at], bounds
+
+
+def token_bytes(texts: list[str], definition: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit numbers."""
+    ids, bounds = token_ids(texts, definition)
+    return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _pieces(definition, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -243,21 +282,33 @@ def _pieces(definition, capacity: int):
                 while last < len(texts) and (last == first or size + len(texts[last] or "") <= SLICE_CHARS):
                     size += len(texts[last] or "")
                     last += 1
-                out: list[tuple] = []
-                for row, ids in enumerate(token_bytes([t or "" for t in texts[first:last]], definition.value), first):
-                    ids += SEPARATOR.to_bytes(4, "little")
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        length = len(own) // 4
-                        out.append((row, piece, at // 4, length, own, zlib.crc32(own), part, used[length]))
-                        used[length] += 1
-                rows, piece, start, length, own, crc, parts, rank = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(own, pa.binary()), pa.array(crc, pa.int64()),
-                     pa.array(parts, pa.int64()), pa.array(rank, pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "_part", "_rank"],
-                )
+                ids, bounds = token_ids([t or "" for t in texts[first:last]], definition.value, SEPARATOR)
+                counts = -(-np.diff(bounds) // capacity)
+                row = np.repeat(np.arange(last - first), counts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                begin = bounds[row] + piece * capacity
+                end = np.minimum(begin + capacity, bounds[row + 1])
+                raw = memoryview(ids.tobytes())
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+                rank = np.empty(len(row), np.int64)
+                for i, length in enumerate((end - begin).tolist()):
+                    rank[i] = used[length]
+                    used[length] += 1
+                columns = {
+                    "doc_id": batch.column(0).slice(first, last - first).take(pa.array(row)),
+                    "piece": pa.array(piece, pa.int32()),
+                    "start": pa.array(begin - bounds[row]),
+                    "length": pa.array(end - begin),
+                    "ids_crc32": pa.array(crc, pa.int64()),
+                    "_part": pa.array(np.full(len(row), part, np.int64)),
+                    "_rank": pa.array(rank),
+                }
+                if with_ids:
+                    cuts = pa.array(4 * np.append(begin, end[-1:]), pa.int32())
+                    columns["ids"] = pa.Array.from_buffers(
+                        pa.binary(), len(row), [None, cuts.buffers()[1], pa.py_buffer(raw)]
+                    )
+                yield pa.RecordBatch.from_pydict(columns)
                 first = last
 
     return run
@@ -268,6 +319,7 @@ def pack_documents(
     tokenizer: str,
     *,
     max_tokens: int = 2048,
+    with_ids: bool = True,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -278,8 +330,8 @@ def pack_documents(
     are cut into pieces of ``max_tokens``; only the last piece may be shorter.
 
     Returns ``doc_id, piece, start, length, ids`` (binary, unsigned 32-bit little
-    endian)``, ids_crc32, sequence_id, offset``. The pieces are stored once, so a
-    caller that does not select ``ids`` does not read them again.
+    endian)``, ids_crc32, sequence_id, offset``. The pieces are stored once. Without
+    ``with_ids`` the ids are worked out and their checksums returned, but they are neither stored nor returned.
 
     A null text counts as empty and is packed as its separator alone. Repeated
     rows and repeated or null ids are packed row by row. An empty table gives an
@@ -294,13 +346,13 @@ def pack_documents(
             StructField("piece", IntegerType()),
             StructField("start", LongType()),
             StructField("length", LongType()),
-            StructField("ids", BinaryType()),
             StructField("ids_crc32", LongType()),
             StructField("_part", LongType()),
             StructField("_rank", LongType()),
+            *([StructField("ids", BinaryType())] if with_ids else []),
         ]
     )
-    pieces = freeze(source.mapInArrow(_pieces(definition, max_tokens), schema), "pieces")
+    pieces = freeze(source.mapInArrow(_pieces(definition, max_tokens, with_ids), schema), "pieces")
     per_part = freeze(pieces.groupBy("length", "_part").agg(F.count("*").alias("pieces")), "piece-counts")
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("pieces").alias("n")).collect()}
     runs, _ = best_fit_decreasing(counts, max_tokens)
@@ -326,7 +378,7 @@ def pack_documents(
         "piece",
         "start",
         F.col("p.length").alias("length"),
-        "ids",
+        *(["ids"] if with_ids else []),
         "ids_crc32",
         (F.col("q.sequence") + F.floor(inside / F.col("q.each")).cast("bigint")).alias("sequence_id"),
         (F.col("q.base") + inside % F.col("q.each") * F.col("p.length")).alias("offset"),

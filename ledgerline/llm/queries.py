@@ -40,7 +40,9 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(PACKING_TOKENIZER))
+    packed = packing.pack_documents(
+        documents(spark, sf_dir), public_tokenizers.path(PACKING_TOKENIZER), with_ids=False
+    )
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -51,14 +51,16 @@ def test_a_piece_that_fits_nowhere_is_refused():
         packing.best_fit_decreasing({11: 1}, 10)
 
 
-def test_ids_equal_those_of_the_tokenizer():
+def test_ids_equal_those_of_the_tokenizer(monkeypatch):
     definition = open(PATH, encoding="utf-8").read()
     tokenizer = Tokenizer.from_str(definition)
     rnd = random.Random(3)
     parts = ["a", "B", "é", "É", " ", "\n", "\t", "'s", ".", ",", "!!", "12", "İ", "Σ", "ς", "<|endoftext|>", "<|EndOfText|>",
              "ß", "́", "\xa0", "\x85", "日本", "º", "Å", "😀", "a.b", "\r\n", "​", "ﬁ", "the,", "x" * 80]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 50))) for _ in range(1500)]
-    found = packing.token_bytes(texts, definition)
+    for limit in (packing.CACHED_WORDS, 300):  # the small memory forgets words in between
+        monkeypatch.setattr(packing, "CACHED_WORDS", limit)
+        found = [ids for k in range(0, len(texts), 50) for ids in packing.token_bytes(texts[k : k + 50], definition)]
     for text, ids in zip(texts, found, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
@@ -83,5 +85,13 @@ def test_documents_come_back_whole(docs_of, odd_rows):
     assert packed.sequence_id.nunique() == sequences_one_by_one(list(packed.length), 512)
 
 
+def test_pieces_without_ids_are_the_same(docs_of, odd_rows):
+    docs = docs_of(odd_rows)
+    whole = packing.pack_documents(docs, PATH, max_tokens=512).drop("ids", "sequence_id", "offset")
+    light = packing.pack_documents(docs, PATH, max_tokens=512, with_ids=False)
+    assert "ids" not in light.columns
+    assert sorted(map(str, light.drop("sequence_id", "offset").collect())) == sorted(map(str, whole.collect()))
+
+
 def test_no_documents(docs_of):
     assert packing.pack_documents(docs_of([]), PATH).count() == 0
