@@ -63,7 +63,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents placed in sequences of at most 2048 tokens."""
-    packed = packing.pack_documents(docs, public_tokenizers.path(PACKING_TOKENIZER))
+    packed = packing.pack_documents(docs, public_tokenizers.path(PACKING_TOKENIZER), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
