@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ledgerline.workspace import freeze
 
 BLANKS = " \t\r\f\x0b"
+_BLANK = r" \t\r\f\x0b"
 VARIABLE = "<*>"
 DEPTH = 3  # times that the lines left over in a leaf are split
 PROBES = 8  # places at which a split is looked for
@@ -50,13 +51,20 @@ def _leaf(leading: int) -> Column:
     return F.xxhash64(F.size("_tokens"), F.slice("_tokens", 1, leading))
 
 
+def _picked(text: Column, places: Column, then) -> Column:
+    """``then`` of the array of the text's lines at these places. The text is split once, not once a place."""
+    both = F.array(F.struct(_lines(text).alias("lines"), places.alias("places")))
+    return F.transform(both, lambda b: then(F.transform(b["places"], lambda i: F.get(b["lines"], i))))[0]
+
+
 def _hashed(docs: DataFrame, leading: int, min_tokens: int, min_characters: int) -> DataFrame:
     """Lines that take part, with their leaf and their own key; ``_short`` ones are no part of the tree."""
     lines = docs.select("_doc", "_text_key", F.posexplode(_lines(F.col("_text"))).alias("_place", "_line"))
-    tokens = lines.select("_doc", "_text_key", "_place", "_line", line_tokens(F.col("_line")).alias("_tokens"))
-    short = F.size("_tokens") < min_tokens
-    trimmed = F.btrim("_line", F.lit(BLANKS))
-    return tokens.where(~short | (F.char_length(trimmed) >= min_characters)).select(
+    # Tokens are only counted here, and made once, above the filter.
+    short = ~F.col("_line").rlike(rf"^[{_BLANK}]*+(?:[^{_BLANK}]++[{_BLANK}]++){{{min_tokens - 1}}}[^{_BLANK}]")
+    long_enough = F.char_length(F.btrim("_line", F.lit(BLANKS))) >= min_characters
+    tokens = lines.where(~short | long_enough).withColumn("_tokens", line_tokens(F.col("_line")))
+    return tokens.select(
         "_doc", "_text_key", "_place", short.alias("_short"), _leaf(leading).alias("_leaf"), F.xxhash64("_tokens").alias("_key")
     )
 
@@ -131,8 +139,8 @@ def _general_lines(docs: DataFrame, hashed: DataFrame, leading: int, similarity:
         firsts.join(several, "_leaf").groupBy("_at._doc", "_at._text_key").agg(F.collect_list("_at._place").alias("_places")),
         "places",
     )
-    held = docs.join(places.hint("merge"), ["_doc", "_text_key"]).select("_places", _lines(F.col("_text")).alias("_l"))
-    picked = held.select(F.explode(F.transform("_places", lambda i: F.get("_l", i))).alias("_line"))
+    held = docs.join(places.hint("merge"), ["_doc", "_text_key"])
+    picked = held.select(F.explode(_picked(F.col("_text"), F.col("_places"), lambda found: found)).alias("_line"))
     parsed = picked.select(line_tokens(F.col("_line")).alias("_tokens"))
     parsed = parsed.select(_leaf(leading).alias("_leaf"), F.xxhash64("_tokens").alias("_key"), "_tokens")
     open_ = freeze(
@@ -208,7 +216,7 @@ def drop_recurring_lines(
     lines = _lines(F.col(text_column))
     # By a hash set: a document may lose very many lines.
     stay = F.array_except(F.sequence(F.lit(0), F.array_size(lines) - 1), F.col("_places"))
-    kept = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    kept = _picked(F.col(text_column), stay, lambda found: F.array_join(found, "\n"))
     rest = [F.col(f"d.`{c}`") for c in docs.columns if c not in (text_column, "n_lines", "n_dropped")]
     d = docs.withColumn("_line_text_key", F.xxhash64(text_column)).alias("d")
     joined = d.join(
