@@ -29,8 +29,8 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from ledgerline.workspace import freeze
 
 SEPARATOR = 0
-SLICE_CHARS = 1 << 23  # texts are split into words about this much at a time
-CACHED_WORDS = 500_000  # spellings a worker remembers, once for those in use and once for those before
+SLICE_CHARS = 3 << 20  # texts are split into words about this much at a time
+CACHED_WORDS = 200_000  # spellings a worker remembers, once for those in use and once for those before
 CACHED_CHARS = 48  # longer words are encoded each time
 
 
