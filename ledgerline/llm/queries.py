@@ -135,7 +135,11 @@ def op4_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [personal_data.kind_count(F.col("base"), kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
     base = personal_data.span_text(F.col("base"))
     return found.select(
-        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), personal_data.span_text(F.col("spans")).alias("spans")
+        "doc_id",
+        *counts,
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2(base, 256).alias("base_sha256"),
+        personal_data.span_text(F.col("spans")).alias("spans"),
     )
 
 
