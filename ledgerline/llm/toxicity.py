@@ -10,7 +10,10 @@ whose second part estimates the risk on clean documents and must not go below
 zero; where a batch takes it there, the step goes the other way. Several
 classifiers see different unlabelled samples and their margins are averaged.
 
-The samples are bounded by parameters. Scoring reads every whole text.
+How many documents hold a word, which decides on the words with a weight, and the
+margins between which the boundary is set are counted over all training documents.
+Only the gradient steps use samples, which are bounded by parameters. Scoring reads
+every whole text.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from ledgerline.llm import words
 
 BUCKETS = 1 << 18
 _SCALE = 1 << 20  # steps of the sampling share
+_STEP = 2.0**-16  # weights are multiples of it, so that margins add up exactly in any order
 
 
 def word_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -52,11 +56,36 @@ def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([*kept, lists], names=["roles", "order", "features"])
 
 
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) to (bucket, n): how many texts of the task hold a word; bucket -1 has all texts."""
+    seen, total = np.zeros(BUCKETS, np.int64), 0
+    for batch in batches:
+        for _, texts in words.chunks(batch.column(0)):
+            features, _ = word_features(texts)
+            seen += np.bincount(features, minlength=BUCKETS)
+            total += len(texts)
+    held = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.append(held, -1)), pa.array(np.append(seen[held], total))], names=["bucket", "n"]
+    )
+
+
+def useful_words(in_positive: np.ndarray, positives: int, seen: np.ndarray, texts: int, deviations: float = 6.0) -> np.ndarray:
+    """Words whose share of the positives is ``deviations`` standard errors off their share of all texts.
+
+    The error counts a third of a positive at least, so a word in three or fewer is no evidence for the label.
+    """
+    expected = positives * (seen + 0.5) / max(texts, 1)
+    far = np.abs(in_positive - expected) >= deviations * np.sqrt(np.maximum(expected, 1 / 3))
+    return np.flatnonzero(far & (in_positive + seen > 1))
+
+
 def nnpu_weights(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
     prior: float,
     *,
+    seen: tuple[np.ndarray, int] | None = None,
     epochs: int = 30,
     batches: int = 16,
     rate: float = 0.05,
@@ -66,9 +95,9 @@ def nnpu_weights(
 ) -> np.ndarray:
     """Weights of a linear classifier (the bias is last) by Adam on the nnPU risk.
 
-    Only words whose share of the positives is ``deviations`` standard errors off
-    their share of the unlabelled texts get a weight, so a rare word cannot.
-    Texts with the same words count once among the positives.
+    Only ``useful_words`` get a weight. ``seen`` says how many texts hold each word and
+    how many texts there are; without it the unlabelled rows are counted. The boundary
+    is that of the given rows. Texts with the same words count once among the positives.
     """
     positive = list({row.tobytes(): row for row in positive}.values())
     rows = [*positive, *unlabelled]
@@ -76,9 +105,9 @@ def nnpu_weights(
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     in_p = np.bincount(flat[: sizes[:n_p].sum()], minlength=BUCKETS)
-    in_u = np.bincount(flat[sizes[:n_p].sum() :], minlength=BUCKETS)
-    expected = n_p * (in_u + 0.5) / max(n_u, 1)
-    useful = np.flatnonzero((np.abs(in_p - expected) >= deviations * np.sqrt(expected)) & (in_p + in_u > 1))
+    if seen is None:
+        seen = np.bincount(flat[sizes[:n_p].sum() :], minlength=BUCKETS), n_u
+    useful = useful_words(in_p, n_p, *seen, deviations)
     column = np.full(BUCKETS, -1)
     column[useful] = np.arange(len(useful))
     kept = column[flat] >= 0
@@ -119,36 +148,79 @@ def nnpu_weights(
             move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             weights -= move[:-1]
             bias -= move[-1]
+    weights = np.round(weights / _STEP) * _STEP
     if n_p and n_u:
         index, owner = gathered(np.arange(n_p + n_u))
         margin = np.bincount(owner, weights[index], minlength=n_p + n_u)
-        bias = -_boundary(margin[:n_p], margin[n_p:])
+        cuts, recall = _cuts(margin[:n_p])
+        bias = -boundary(cuts, recall, *_histogram(cuts, margin[n_p:]))
     out = np.zeros(BUCKETS + 1)
     out[useful], out[-1] = weights, bias
     return out
 
 
-def _boundary(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def _cuts(positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Margins that may divide, and the share of the positives from each one on."""
+    if not len(positive):
+        return np.zeros(0), np.zeros(0)
+    cuts = np.unique(np.quantile(positive, np.linspace(0, 1, 401)))
+    return cuts, 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
+
+
+def _histogram(cuts: np.ndarray, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many margins lie before, between and after the cuts, and the largest of each part."""
+    part = np.searchsorted(cuts, margins, side="right")
+    top = np.full(len(cuts) + 1, -np.inf)
+    np.maximum.at(top, part, margins)
+    return np.bincount(part, minlength=len(cuts) + 1), top
+
+
+def boundary(cuts: np.ndarray, recall: np.ndarray, counts: np.ndarray, tops: np.ndarray) -> float:
     """The margin at which to divide: it makes recall**2 / share predicted largest.
 
     With positive and unlabelled data only, this stands in for the F1 score.
     """
-    unlabelled = np.sort(unlabelled)
-    cuts = np.unique(np.quantile(positive, np.linspace(0, 1, 401)))
-    recall = 1 - np.searchsorted(np.sort(positive), cuts) / len(positive)
-    share = 1 - np.searchsorted(unlabelled, cuts) / len(unlabelled)
-    best = int(np.argmax(recall**2 / np.maximum(share, 1 / len(unlabelled))))
-    below = unlabelled[unlabelled < cuts[best]]
-    return float((cuts[best] + (below[-1] if len(below) else cuts[best])) / 2)
+    total = max(counts.sum(), 1)
+    share = (counts[::-1].cumsum()[::-1][1:]) / total
+    best = int(np.argmax(recall**2 / np.maximum(share, 1 / total)))
+    below = tops[: best + 1].max()
+    return float((cuts[best] + (below if np.isfinite(below) else cuts[best])) / 2)
 
 
-def _trained(prior: float):
+def _trained(prior: float, seen):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["positive", "order"])  # whatever order the rows came in
-        positive = [np.asarray(x) for x in frame.features[frame.positive]]
-        unlabelled = [np.asarray(x) for x in frame.features[~frame.positive]]
-        weights = nnpu_weights(positive, unlabelled, prior, seed=int(frame.bag.iloc[0]))
-        return pd.DataFrame({"bag": [int(frame.bag.iloc[0])], "weights": [weights.astype(np.float32).tobytes()]})
+        positive = [np.asarray(x, np.int64) for x in frame.features[frame.positive]]
+        unlabelled = [np.asarray(x, np.int64) for x in frame.features[~frame.positive]]
+        weights = nnpu_weights(positive, unlabelled, prior, seen=seen.value, seed=int(frame.bag.iloc[0]))
+        distinct = {row.tobytes(): row for row in positive}.values()
+        cuts, recall = _cuts(np.array([weights[row].sum() for row in distinct]))
+        packed = {"weights": weights, "cuts": cuts, "recall": recall}
+        return pd.DataFrame({"bag": [int(frame.bag.iloc[0])], **{k: [v.tobytes()] for k, v in packed.items()}})
+
+    return run
+
+
+def _margins(features: np.ndarray, bounds: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0.0], np.cumsum(weights[features])])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+def _histograms(models):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(text) to (bag, part, n, top): histograms of the whole task."""
+        held = [(np.zeros(len(cuts) + 1, np.int64), np.full(len(cuts) + 1, -np.inf)) for _, cuts in models.value]
+        for batch in batches:
+            for _, texts in words.chunks(batch.column(0)):
+                features, bounds = word_features(texts)
+                for (weights, cuts), (counts, tops) in zip(models.value, held, strict=True):
+                    n, top = _histogram(cuts, _margins(features, bounds, weights))
+                    counts += n
+                    np.maximum(tops, top, out=tops)
+        for bag, (counts, tops) in enumerate(held):
+            part = np.flatnonzero(counts)
+            columns = [np.full(len(part), bag), part, counts[part], tops[part]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bag", "part", "n", "top"])
 
     return run
 
@@ -168,8 +240,9 @@ def train(
     """Averaged weights of ``bags`` classifiers.
 
     ``labels`` names confirmed toxic documents (label 1) by id; only rows given here
-    are used. About ``positives`` of them and ``unlabelled`` of ``docs`` per bag are
-    sampled by a hash of the id, so each bag fits one task whatever the corpus size.
+    are used. For the gradient steps about ``positives`` of them and ``unlabelled`` of
+    ``docs`` per bag are sampled by a hash of the id, so each bag fits one task whatever
+    the corpus size. Word counts and margins are those of all documents given here.
     ``prior`` is the share of toxic documents; by default their share among ``labels``.
     Labels other than 1 serve for that share only.
     """
@@ -185,8 +258,16 @@ def train(
         marked.where(F.col("_label") == 1).where(place < _share(positives, counts["toxic"])).select("_id").distinct()
         .withColumn("_toxic", F.lit(True))
     )
-    share = _share(unlabelled, docs.count(), most=_SCALE // bags)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).where("_id IS NOT NULL")
+    # A row for each bucket at most, summed before it reaches the driver.
+    counted = texts.select("_text").mapInArrow(_document_counts, "bucket bigint, n bigint")
+    seen, total = np.zeros(BUCKETS, np.int64), 0
+    for row in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        if row["bucket"] < 0:
+            total = row["n"]
+        else:
+            seen[row["bucket"]] = row["n"]
+    share = _share(unlabelled, total, most=_SCALE // bags)
     # The confirmed sample is bounded by the parameter, so it may be broadcast.
     roles = texts.join(F.broadcast(confirmed), "_id", "left").withColumn(
         "_bag", F.when(place < share * bags, F.floor(place / share).cast("int"))
@@ -208,10 +289,27 @@ def train(
     rows = featured.select(F.explode("roles").alias("_role"), "order", "features").select(
         "_role.bag", "_role.positive", "order", "features"
     )
-    found = rows.groupBy("bag").applyInPandas(_trained(prior), "bag int, weights binary").collect()
+    context = docs.sparkSession.sparkContext
+    frequencies = context.broadcast((seen, total))  # BUCKETS numbers
+    found = rows.groupBy("bag").applyInPandas(
+        _trained(prior, frequencies), "bag int, weights binary, cuts binary, recall binary"
+    ).collect()
     if not found:  # no document to learn from
         return _no_evidence()
-    return np.mean([np.frombuffer(r["weights"], np.float32) for r in found], axis=0).astype(np.float64)
+    models = [tuple(np.frombuffer(r[c]) for c in ("weights", "cuts", "recall")) for r in sorted(found, key=lambda r: r["bag"])]
+    if not any(len(cuts) for _, cuts, _ in models):  # no confirmed document among these
+        return np.mean([weights for weights, _, _ in models], axis=0)
+    shared = context.broadcast([(weights[:-1], cuts) for weights, cuts, _ in models])
+    counts = [np.zeros(len(cuts) + 1, np.int64) for _, cuts, _ in models]
+    tops = [np.full(len(cuts) + 1, -np.inf) for _, cuts, _ in models]
+    parts = texts.select("_text").mapInArrow(_histograms(shared), "bag bigint, part bigint, n bigint, top double")
+    for row in parts.groupBy("bag", "part").agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect():
+        counts[row["bag"]][row["part"]], tops[row["bag"]][row["part"]] = row["n"], row["top"]
+    placed = [
+        np.append(weights[:-1], -boundary(cuts, recall, n, top) if len(cuts) else weights[-1])
+        for (weights, cuts, recall), n, top in zip(models, counts, tops, strict=True)
+    ]
+    return np.mean(placed, axis=0)
 
 
 def _no_evidence() -> np.ndarray:
@@ -230,8 +328,7 @@ def _scored(weights):
         for batch in batches:
             for first, texts in words.chunks(batch.column(1)):
                 features, bounds = word_features(texts)
-                sums = np.concatenate([[0.0], np.cumsum(table[features])])
-                margin = table[-1] + sums[bounds[1:]] - sums[bounds[:-1]]
+                margin = table[-1] + _margins(features, bounds, table)
                 score = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.array(score)], names=["doc_id", "score"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -97,6 +98,57 @@ def test_positive_unlabelled_risk_separates():
     assert weights[7] + weights[-1] > 0 > weights[-1]
 
 
+def test_boundary_equals_trying_every_cut():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        positive = np.round(rng.normal(2, 1, rng.integers(1, 60)), 1)
+        every = np.round(rng.normal(0, 1.5, rng.integers(1, 300)), 1)
+        cuts, recall = toxicity._cuts(positive)
+        halves = [toxicity._histogram(cuts, half) for half in np.array_split(every, 2)]
+        merged = sum(n for n, _ in halves), np.maximum(*[top for _, top in halves])
+        tried = [(np.mean(positive >= c) ** 2 / max(np.mean(every >= c), 1 / len(every)), -c) for c in cuts]
+        best = -max((round(value, 12), cut) for value, cut in tried)[1]
+        below = every[every < best]
+        assert toxicity.boundary(cuts, recall, *merged) == pytest.approx((best + (below.max() if len(below) else best)) / 2)
+
+
+def test_word_counts_and_useful_words(spark, docs_of):
+    rng = random.Random(4)
+    vocabulary = [f"w{chr(97 + i)}" for i in range(26)]
+    texts = [" ".join(rng.choices(vocabulary[: 1 + i % 26], k=rng.randint(0, 30))) for i in range(300)]
+    frame = docs_of(list(enumerate(texts))).repartition(5).select("text")
+    rows = frame.mapInArrow(toxicity._document_counts, "bucket bigint, n bigint").groupBy("bucket").sum("n").collect()
+    counts = {r[0]: r[1] for r in rows}
+    assert counts.pop(-1) == 300
+    expected = {w: sum(w in text.split() for text in texts) for w in vocabulary}
+    assert sorted(counts.values()) == sorted(n for n in expected.values() if n)
+    seen = np.array([0, 0, 1000, 1000, 100_000, 50])
+    inside = np.array([3, 4, 30, 10, 990, 0])
+    # 1,000 positives of a million texts: 0, 0, 1, 1, 100 and 0.05 expected.
+    assert list(toxicity.useful_words(inside, 1000, seen, 1_000_000)) == [1, 2, 3, 4]
+
+
+def test_gradient_of_the_risk_lowers_it():
+    """One step on a whole small batch equals the numeric gradient's first Adam step."""
+    positive = [np.array([1, 2]), np.array([2]), np.array([2, 3])]
+    unlabelled = [np.array([1]), np.array([3]), np.array([2, 3]), np.array([1, 3])]
+    prior = 0.3
+
+    def risk(weights, bias):
+        margin = lambda rows: np.array([bias + weights[r].sum() for r in rows])
+        p, u = margin(positive), margin(unlabelled)
+        clean = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+        return prior * np.logaddexp(0, -p).mean() + clean if clean >= 0 else -clean
+
+    one = toxicity.nnpu_weights(positive, unlabelled, prior, epochs=1, batches=1, rate=0.01, decay=0.0, deviations=0.0)
+    start, e = np.zeros(4), 1e-6
+    for word in (1, 2, 3):
+        moved = start.copy()
+        moved[word] = e
+        slope = (risk(moved, -2.0) - risk(start, -2.0)) / e
+        assert one[word] == pytest.approx(-0.01 * np.sign(slope), abs=1e-4)
+
+
 def test_kth_largest(spark):
     values = [5, -3, 2**62, -(2**62), 0, 5, 5, -(2**63), 2**63 - 1]
     rows = spark.createDataFrame([(v,) for v in values], "v bigint")
