@@ -156,6 +156,23 @@ def test_shared_prefixes_are_scored_once():
     assert len(trie.best) == nodes + 2 and trie.counts["abab"] == 3
 
 
+def test_long_words_and_crowded_documents_leave_the_trie_bounded(monkeypatch):
+    monkeypatch.setattr(token_counts, "NODES", 2_000)
+    monkeypatch.setattr(token_counts, "_PART", 16)
+    scores = token_counts.unigram_scores(open(MODEL, "rb").read())
+    rnd = random.Random(8)
+    alphabet = "abcdeinorst▁é日😀"
+    words = ["".join(rnd.choices(alphabet, k=rnd.choice((1, 5, 30, 254, 255, 256, 257, 600)))) for _ in range(120)]
+    trie, largest = token_counts.PrefixTrie(scores), 0
+    for first in range(0, len(words), 40):
+        part = words[first : first + 40] * 2
+        assert trie.total(part) == sum(count_by_force(w, scores) for w in part)
+        largest = max(largest, len(trie.best))
+    assert largest <= 2_000 + 16 * token_counts.LONG
+    trie.clear()
+    assert trie.total(["x" * 300_000]) > 0 and len(trie.best) == 1
+
+
 def test_scores_beyond_64_bits_are_refused(spark):
     fits = spark.createDataFrame([(i, [float(i), 1e7]) for i in range(30)], "vec_id bigint, embedding array<double>")
     assert metric_tree.top_inner_products(fits).count() == 40
