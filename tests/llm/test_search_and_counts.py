@@ -67,6 +67,20 @@ def test_documents_shorter_than_an_item_leak(spark, docs_of):
     assert found == {(1, 1): (0, 44, 40 / 41, 1), (2, 1): (0, 41, 37 / 41, 1), (5, 1): (0, 45, 1.0, 1)}
 
 
+def test_a_crowded_bitmap_changes_nothing(spark, docs_of, monkeypatch):
+    assert decontamination.filter_size(0) == 1 << 20 and decontamination.filter_size(1 << 40) == 1 << 28
+    assert all(32 * n <= decontamination.filter_size(n) <= 64 * n for n in (40_000, 1 << 20, 5_000_001, 1 << 23))
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rnd.choice(words) for _ in range(n))) for i, n in enumerate([3, 12, 25, 25, 40])]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(30)) + " " + items[i % 5][1]) for i in range(20)]
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    for limits in ((8, 8), (64, 64), (1 << 20, 1 << 28)):  # the first two are full or nearly so
+        monkeypatch.setattr(decontamination, "FILTER_BITS", limits)
+        found = decontamination.find_leaks(docs_of(rows), frame).collect()
+        assert {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity, r.n_windows) for r in found} == leaks_by_force(rows, items)
+
+
 def test_leaks_of_odd_tables(spark, docs_of, odd_rows):
     items = spark.createDataFrame([(1, "the cat sat on the mat")], "item_id bigint, text string")
     assert [(r.doc_id, r.start) for r in decontamination.find_leaks(docs_of(odd_rows), items).collect()] == [(1, 0)]
@@ -90,6 +104,7 @@ def top_by_force(rows, k, every):
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(metric_tree, "SHARD_ROWS", 150)
     monkeypatch.setattr(metric_tree, "BLOCK_QUERIES", 20)
+    monkeypatch.setattr(metric_tree, "REGION_ROWS", 50)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 8))
     rows = [(i, [float(x) for x in centres[i % 6] * (i % 5) + rng.normal(size=8) / 5]) for i in range(400)]
@@ -106,6 +121,29 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert metric_tree.top_inner_products(frame.limit(0)).count() == 0
 
 
+def test_queries_skip_regions_and_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(metric_tree, "REGION_ROWS", 20)
+    monkeypatch.setattr(metric_tree, "SHARD_ROWS", 100)
+    monkeypatch.setattr(metric_tree, "BLOCK_QUERIES", 7)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(30, 16))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    rows = [(i, [float(x) for x in centres[i % 30] + rng.normal(size=16) / 40]) for i in range(1200)]
+    rows += [(1200 + i, rows[0][1]) for i in range(600)]  # a third of all rows in one region
+    rows += [(1800, [1.0, 2.0, 3.0]), (1820, [2.0, 1.0, 0.0])]  # no pivot need have this length
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in metric_tree.top_inner_products(frame).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == top_by_force(rows, 20, 20)
+
+    once = frame.mapInArrow(metric_tree._quantised(64.0), "vec_id bigint, dim int, norm double, vector binary").where("dim = 16")
+    routes, _, pages = metric_tree.routed_queries(once, 1800, 20, 20)
+    shards, queries = pages.select("dim", "region", "part").distinct().count(), 90
+    assert shards > 30
+    assert queries + routes.count() < queries * shards / 3
+
+
 def test_trees_of_deep_shards_are_exact(monkeypatch):
     monkeypatch.setattr(metric_tree, "PAGE", 64)  # several levels
     rng = np.random.default_rng(8)
