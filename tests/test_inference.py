@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline import sources
 from ledgerline.sources import inference
@@ -81,6 +82,50 @@ def test_one_aggregate_over_all_cells(spark, plan_of):
     assert plan.count("Exchange") == 1 and "SinglePartition" in plan and "partial_bit_and" in plan
 
 
+def test_only_types_left_open_are_tested(spark, plan_of):
+    df = spark.createDataFrame([("1", "8/13/2016"), (None, "1/2/2016"), ("2.5", None)], "a string, b string")
+    every = inference.column_states(df).first()
+    some = inference.column_states(df, among={"a": inference._BIGINT | inference._DOUBLE, "b": 0})
+    assert "gettimestamp" in plan_of(inference.column_states(df)) and "gettimestamp" not in plan_of(some)
+    assert (every["a"], every["b"]) == (inference._DOUBLE, inference._FIRST_DATE << 1) and tuple(some.first()) == (every["a"], 0)
+    assert inference._left_open(df, inference.DATE_PATTERNS) == {"a": every["a"], "b": every["b"]}
+
+
+def test_cells_after_the_first_rows_count(spark):
+    n = inference._FIRST_ROWS
+    long = "9" * (inference._FIRST_LENGTH + 1)  # no use in ruling out, but it counts
+    columns = {
+        "whole": ["1"] * (n + 1),
+        "later_text": ["1"] * n + ["x"],
+        "later_fraction": [None] * n + ["0.5"],
+        "text": ["x"] * n + [None],
+        "no cells": [None] * (n + 1),
+        "long": [long] * (n + 1),
+        "long_first": [long] + ["1"] * n,
+        "day": ["1/2/2016"] * n + ["1/13/2016"],
+        "bad day": ["2024-02-28"] * n + ["2024-02-30"],
+        "moment": ["2020-01-01 10:00:00"] * n + [None],
+    }
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), schema).coalesce(1)
+    found = inference.infer_columns(df)
+    assert found == inference.types_of(inference.column_states(df).first().asDict())
+    assert [c.type_name for c in found] == [
+        "bigint", "string", "double", "string", "string", "string", "string", "date", "string", "timestamp_ntz",
+    ]
+    assert inference.infer_columns(df.select()) == []
+
+
+def test_date_shapes_hold_what_can_be_parsed(spark):
+    def fits(pattern, text):
+        return spark.range(1).select(F.lit(text).rlike(inference._date_shape(pattern))).first()[0]
+
+    assert fits("d/M/yyyy", "13/8/2016") and not fits("d/M/yyyy", "8/13/2016")
+    assert not fits("yyyy-MM-dd", "2016-13-01") and not fits("dd.MM.yyyy", "00.01.2016")
+    # Without something between them, parts are told by their number of digits only.
+    assert fits("yyyyMMdd", "20161301") and fits("Mdyyyy", "1322016")
+
+
 def test_read_inferred(spark, tmp_path, rows):
     file = tmp_path / "a.csv"
     file.write_text('id,a b,when,"x.y"\n1,"q, ""r""",3/4/2021,1.5\n2,,12/25/2021,\n3,"007",,2\n')
