@@ -36,20 +36,45 @@ def hashed_ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, owner
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(is target, text) to one row per bucket for the whole task."""
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, buckets): two bytes for each word and word pair, in ascending order."""
     for batch in batches:
-        marked = np.array(batch.column(0).to_pylist(), dtype=bool)
         for first, texts in words.chunks(batch.column(1)):
             buckets, owner = hashed_ngrams(texts)
-            raw += np.bincount(buckets, minlength=BUCKETS)
-            target += np.bincount(buckets[marked[first : first + len(texts)][owner]], minlength=BUCKETS)
+            packed = (np.sort(owner * BUCKETS + buckets) % BUCKETS).astype("<u2").tobytes()
+            ends = 2 * np.cumsum(np.bincount(owner, minlength=len(texts)))
+            grams = [packed[start:end] for start, end in zip([0, *ends[:-1]], ends, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, len(texts)), pa.array(grams, pa.binary())], names=["doc_id", "grams"]
+            )
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(is target, buckets) to one row per bucket for the whole task."""
+    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        marked, grams = np.array(batch.column(0).to_pylist(), dtype=bool), batch.column(1).to_pylist()
+        buckets = np.frombuffer(b"".join(grams), "<u2")
+        raw += np.bincount(buckets, minlength=BUCKETS)
+        target += np.bincount(buckets[np.repeat(marked, [len(g) // 2 for g in grams])], minlength=BUCKETS)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.arange(BUCKETS)), pa.array(raw), pa.array(target)], names=["bucket", "raw", "target"]
     )
 
 
+def bucket_counts(source: DataFrame, good: DataFrame) -> DataFrame:
+    """``bucket, raw, target``: how often each bucket occurs in all texts, and in those whose id is in ``good``.
+
+    Not the texts but their buckets meet the ids, by a shuffle at any size: what moves stays in proportion to
+    the texts, and a task holds the ids of its partition only.
+    """
+    grams = source.mapInArrow(_packed, "doc_id bigint, grams binary")
+    chosen = good.distinct().withColumn("_target", F.lit(True)).hint("shuffle_hash")
+    marked = grams.join(chosen, "doc_id", "left").select(F.coalesce("_target", F.lit(False)).alias("_target"), "grams")
+    sums = marked.mapInArrow(_counts, "bucket bigint, raw bigint, target bigint").groupBy("bucket")
+    return sums.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+
+
 def ordered_bits(keys: np.ndarray) -> np.ndarray:
     """64-bit integers in the order of the doubles."""
     bits = keys.astype(np.float64).view(np.int64)
@@ -118,14 +143,8 @@ def importance_sample(
     columns are not looked at.
     """
     source = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    good = labels.where(F.col(label_column).cast("int") == 1).select(F.col(id_column).cast("bigint").alias("doc_id")).distinct()
-    # A stored table, so that Spark knows its size.
-    chosen = freeze(good, "target-ids").withColumn("_target", F.lit(True))
-    marked = source.join(chosen, "doc_id", "left").select(F.coalesce("_target", F.lit(False)).alias("_target"), "text")
-    sums = (
-        marked.mapInArrow(_counts, "bucket bigint, raw bigint, target bigint")
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
-    )
+    good = labels.where(F.col(label_column).cast("int") == 1).select(F.col(id_column).cast("bigint").alias("doc_id"))
+    sums = bucket_counts(source, good).collect()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in sums:
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]

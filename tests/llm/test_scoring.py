@@ -190,6 +190,23 @@ def test_log_weights_equal_counting(docs_of, spark):
         assert r.log_weight == pytest.approx(sum(map(ratio, grams[r.doc_id])))
 
 
+def test_bucket_counts_move_buckets_not_texts(spark, docs_of, odd_rows, plan_of):
+    good = spark.createDataFrame([(1,), (5,), (5,), (6,), (None,), (99,)], "doc_id bigint")
+    found = importance.bucket_counts(docs_of(odd_rows).select("doc_id", "text"), good)
+    plan = plan_of(found)
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan  # the same plan for few and many ids
+    assert plan.index("ShuffledHashJoin") < plan.index("hashpartitioning(doc_id") < plan.rindex("MapInArrow")
+    raw, target = np.zeros(importance.BUCKETS, int), np.zeros(importance.BUCKETS, int)
+    for i, text in odd_rows:
+        buckets, _ = importance.hashed_ngrams([(text or "").encode()])
+        np.add.at(raw, buckets, 1)
+        np.add.at(target, buckets, int(i in (1, 5, 6)))
+    rows = found.collect()
+    assert sorted(r.bucket for r in rows) == list(range(importance.BUCKETS))
+    assert all((r.raw, r.target) == (raw[r.bucket], target[r.bucket]) for r in rows)
+    assert raw.sum() > target.sum() > 0
+
+
 def test_importance_of_odd_rows(spark, docs_of, odd_rows):
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
     found = importance.importance_sample(docs_of(odd_rows), labels, fraction=1.0).collect()
